@@ -1,11 +1,13 @@
 """The corpus queries by name, and the SQL of those that SQL can express."""
 
-from lexloom.llm import exact_dedup, line_dedup, simhash
+from lexloom.llm import byte_bpe, exact_dedup, line_dedup, simhash, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+    "op8_token_counts": token_counts.op8_token_counts,
+    "op9_byte_bpe": byte_bpe.op9_byte_bpe,
 }
 
 ORACLES = {
