@@ -1,17 +1,34 @@
-"""Pipeline stages: (spark, docs, sf_dir) to a DataFrame with the columns of ``docs``."""
+"""Pipeline stages: (spark, docs, sf_dir) to a DataFrame; all but the last keep the columns of ``docs``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lexloom.llm import line_dedup as lines, simhash
+from lexloom.llm import line_dedup as lines, packing as packs, quality_model, quality_rules as rules, simhash
+
+
+def _with_text(docs: DataFrame, judged: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` with another text, and its length in code points."""
+    out = {"text": F.col(text)}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return judged.withColumns(out).select(docs.columns)
+
+
+def quality_classifier(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for low quality go."""
+    scored = quality_model.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(docs.columns)
+
+
+def quality_rules(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; from the others, lines above their host's limit go."""
+    return _with_text(docs, rules.judged(docs).where("kept"), "cleaned")
 
 
 def line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shared lines go from the texts; documents left without a word go too."""
-    out = lines.dedup_lines(docs)
-    length = F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint"))
-    return out.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", length).select(docs.columns)
+    return _with_text(docs, lines.dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]")), "text")
 
 
 def simhash_near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,3 +36,8 @@ def simhash_near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_components(simhash.fingerprints(docs))
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document that is left, in its length bucket and batch."""
+    return packs.pack(docs)
