@@ -149,9 +149,20 @@ def _shard(path: str, shard: int):
     return _open[path, shard]
 
 
+BATCH_BYTES, BATCH_KEY = 16 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def mapped(df: DataFrame, function, schema, *args) -> DataFrame:
-    """``mapInArrow`` with a function of a module and its settings."""
-    store.importable(df.sparkSession)
+    """``mapInArrow`` with a function of a module and its settings.
+
+    Long texts make batches of many rows large, on the JVM's side outside its heap, so the
+    session's bound on the bytes of a batch is lowered to ``BATCH_BYTES`` where it is higher.
+    """
+    spark = df.sparkSession
+    store.importable(spark)
+    bound = spark.conf.get(BATCH_KEY).rstrip("bB")
+    if not bound.isdigit() or not 0 < int(bound) <= BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     return df.mapInArrow(partial(_call, function, args), schema)
 
 

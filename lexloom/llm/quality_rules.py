@@ -83,7 +83,7 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - sum(map(text.count, tx.WHITE)), sum(map(text.count, SYMBOLS)), repeated, repeated_words(words)
 
 
-def _judge(batches, index: LineIndex, host_col: str, text_col: str, share: float, min_docs: int, depleted: float):
+def _judge(batches, index: LineIndex, host_col: str, text_col: str, names: list[str], added: list[str], share: float, min_docs: int, depleted: float):
     for batch in store.blocks(batches, text_col):
         texts = [x or "" for x in batch.column(text_col).to_pylist()]
         hosts = [None if x is None else str(x) for x in batch.column(host_col).to_pylist()]
@@ -100,21 +100,28 @@ def _judge(batches, index: LineIndex, host_col: str, text_col: str, share: float
             failed = base[0] < MIN_WORDS or 100 * base[4] > MOST_REPEATED * base[0]
             gone = [n > limit and bool(line.strip(tx.WHITE)) for line, n in zip(own, held.tolist(), strict=True)]
             lost = sum(len(tx.words_of(line)) for line, out in zip(own, gone, strict=True) if out)
-            cleaned = "\n".join(line for line, out in zip(own, gone, strict=True) if not out) if lost else text
+            cleaned = None
+            if "cleaned" in added:
+                cleaned = "\n".join(line for line, out in zip(own, gone, strict=True) if not out) if lost else text
             rows.append((*base, failed, sum(gone), lost, not failed and lost <= depleted * base[0], cleaned))
         kinds = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
-        added = [pa.array([r[i] for r in rows], kinds[k]) for i, k in enumerate(ADDED.values())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *ADDED])
+        columns = [pa.array([r[i] for r in rows], kinds[k]) for i, (name, k) in enumerate(ADDED.items()) if name in added]
+        yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], *columns], [*names, *added])
 
 
-def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", share: float = SHARE, min_docs: int = MIN_DOCS, depleted: float = DEPLETED) -> DataFrame:
-    """``docs`` with the counts, the verdict, and under ``cleaned`` the text without removed lines."""
+def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", share: float = SHARE, min_docs: int = MIN_DOCS, depleted: float = DEPLETED, texts: bool = True) -> DataFrame:
+    """``docs`` with the counts, the verdict, and under ``cleaned`` the text without removed lines.
+
+    Without ``texts`` neither text comes back from the Python workers.
+    """
     index = frequent_lines(docs, host_col, text_col, min_docs)
     kept = store.without(docs, *ADDED)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept.schema] + [T.StructField(k, T._parse_datatype_string(v)) for k, v in ADDED.items()])
-    return mapped(kept, _judge, schema, index, host_col, text_col, share, min_docs, depleted)
+    names = [f.name for f in kept.schema if texts or f.name != text_col]
+    added = {k: v for k, v in ADDED.items() if texts or k != "cleaned"}
+    schema = T.StructType([T.StructField(x, kept.schema[x].dataType, True) for x in names] + [T.StructField(k, T._parse_datatype_string(v)) for k, v in added.items()])
+    return mapped(kept, _judge, schema, index, host_col, text_col, names, list(added), share, min_docs, depleted)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return judged(docs).drop("source", "text", "cleaned")
+    return judged(docs, texts=False).drop("source")
