@@ -8,6 +8,7 @@ from pyspark.sql import Window, functions as F
 from lexloom import views
 from lexloom.operators import sequence as s
 from lexloom.plans.catalogue import query
+from lexloom.session import importable
 from lexloom.views import iso, with_views
 
 _NUM = "num AS (SELECT norm, snap, day, row_number() OVER (PARTITION BY norm ORDER BY day, snap) AS n FROM (SELECT DISTINCT norm, snap, day FROM snap))"
@@ -269,6 +270,7 @@ def visual_lines(spark, sf_dir):
     The anchor of a line depends on where the line before it ended, so this is a fold over the
     words of one page; pages are the groups and fit in memory.
     """
+    importable(spark)
     words = views.versions(spark, sf_dir).select("norm", F.col("src").alias("word"), (F.col("qty") * 1.0).alias("top"), F.col("block").alias("x"))
 
     def lines(page: pd.DataFrame) -> pd.DataFrame:

@@ -53,7 +53,7 @@ def asof_fallback_earliest(spark, sf_dir):
 
 
 @query("asof_exact_override", f"""{with_views('ver')},
-ev AS (SELECT DISTINCT norm, src, pub AS day FROM ver WHERE norm % 5 = 0),
+ev AS (SELECT DISTINCT norm, src, pub AS day FROM ver),
 c AS (SELECT ev.norm, ev.src, ev.day, v.block, v.src AS v_src, v.pub, {_F} AS f,
         (v.src = ev.src AND (v.eff = ev.day OR v.pub = ev.day)) IS TRUE AS own
       FROM ev JOIN ver v ON ev.norm = v.norm WHERE coalesce(v.eff, v.pub) <= ev.day),
@@ -61,7 +61,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY norm, src, day, block ORDER BY o
 SELECT norm, src, CAST(day AS VARCHAR) AS day, block, v_src AS shown, own AS exact FROM r WHERE k = 1""")
 def asof_exact_override(spark, sf_dir):
     v = views.versions(spark, sf_dir)
-    events = v.where("norm % 5 = 0").select("norm", "src", F.col("pub").alias("day")).distinct()
+    events = v.select("norm", "src", F.col("pub").alias("day")).distinct()
     return t.exact_override(v, events).withColumn("day", iso("day"))
 
 
