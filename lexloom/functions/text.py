@@ -74,7 +74,8 @@ def html_to_text(html: Column) -> Column:
     bare = F.regexp_replace(bare, "<[^>]*>", " ")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, "[ \t]+", " "), " ?\n[ \n]*", "\n"))
+    lines = F.regexp_replace(F.regexp_replace(bare, "[ \t]+", " "), " ?\n[ \n]*", "\n")
+    return F.regexp_replace(lines, "^[ \n]+|[ \n]+$", "")
 
 
 def snippet(body: Column, most: int = 300) -> Column:
