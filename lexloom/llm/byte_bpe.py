@@ -32,6 +32,7 @@ from lexloom.llm.index import mapped
 _RUNS = re.compile(r"\s \s|\s \Z")
 #: Entries after which a worker empties a memo; results do not depend on it.
 MEMO = 250_000
+_SHIFT = 24
 
 
 def printable_bytes() -> dict[str, int]:
@@ -69,7 +70,7 @@ class Vocabulary:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
     def fits(self, a: int, b: int) -> bool:
-        key = a << 32 | b
+        key = a << _SHIFT | b
         found = self._fits.get(key)
         if found is None:
             if len(self._fits) > 4 * MEMO:
@@ -108,11 +109,16 @@ class Vocabulary:
         Among the tokens that end a prefix, just one is compatible with the last token of the
         shorter prefix before it.
         """
-        counts, lasts = [0] * (len(piece) + 1), [-1] * (len(piece) + 1)
+        counts, lasts, known = [0] * (len(piece) + 1), [-1] * (len(piece) + 1), self._fits.get
         for end, (length, number) in self.automaton.iter(piece.decode("latin-1")):
-            stop, start = end + 1, end + 1 - length
-            if lasts[stop] < 0 and (start == 0 or self.fits(lasts[start], number)):
-                counts[stop], lasts[stop] = counts[start] + 1, number
+            end += 1
+            if lasts[end] < 0:
+                start = end - length
+                if start:
+                    fits = known(lasts[start] << _SHIFT | number)
+                    if not (self.fits(lasts[start], number) if fits is None else fits):
+                        continue
+                counts[end], lasts[end] = counts[start] + 1, number
         return counts
 
     def pieces(self, text: str) -> list[str]:
@@ -149,6 +155,27 @@ def chunks(text: str) -> list[str] | None:
     return None if _RUNS.search(text) else text.split(" ")
 
 
+class Memo:
+    """The results of a function for recent texts: when full, the newer half stays."""
+
+    def __init__(self, function, most: int = MEMO):
+        self.function, self.most = function, most
+        self.new: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+
+    def __call__(self, text: str):
+        found = self.new.get(text)
+        if found is None:
+            found = self.old.get(text)
+            if found is None:
+                found = self.function(text)
+            if len(text) < 64:
+                if len(self.new) >= self.most:
+                    self.new, self.old = {}, self.new
+                self.new[text] = found
+        return found
+
+
 class Encoder:
     """Encodes texts with memoised chunks: ids as little-endian 32-bit bytes."""
 

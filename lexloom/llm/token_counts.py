@@ -13,6 +13,7 @@ rows give repeated results; an empty table gives an empty table; further columns
 from __future__ import annotations
 
 import functools
+import operator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from lexloom.llm import byte_bpe
 from lexloom.llm.index import mapped
 
 LIMIT = 1024
+_LAST = operator.itemgetter(-1)
 _WHITE = regex.compile(r"\s").match
 #: With a space after white space, prefixes end otherwise than chunks do.
 _RUNS = regex.compile(r"\s ")
@@ -31,11 +33,13 @@ _RUNS = regex.compile(r"\s ")
 class PrefixCounts:
     """Counts at every prefix of one text, by code points."""
 
-    def __init__(self, parts: list[np.ndarray]):
+    def __init__(self, parts: list[list[int]]):
         """``parts``: for each chunk, the counts of its prefixes of 0, 1, ... code points."""
         self.parts = parts
-        self.chars = np.concatenate([[0], np.cumsum([x.size - 1 for x in parts], dtype=np.int64)]) if parts else np.zeros(1, np.int64)
-        self.tokens = np.concatenate([[0], np.cumsum([x[-1] for x in parts], dtype=np.int64)]) if parts else np.zeros(1, np.int64)
+        self.chars = np.zeros(len(parts) + 1, np.int64)
+        self.tokens = np.zeros(len(parts) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) - 1, out=self.chars[1:])
+        np.cumsum(np.fromiter(map(_LAST, parts), np.int64, len(parts)), out=self.tokens[1:])
 
     @property
     def total(self) -> int:
@@ -44,93 +48,73 @@ class PrefixCounts:
     def at(self, chars: int) -> int:
         """Tokens of the first ``chars`` code points."""
         i = int(np.searchsorted(self.chars, chars, "right")) - 1
-        return int(self.tokens[i]) + (int(self.parts[i][chars - self.chars[i]]) if chars > self.chars[i] else 0)
+        return int(self.tokens[i]) + (self.parts[i][chars - int(self.chars[i])] if chars > self.chars[i] else 0)
 
     def within(self, budget: int) -> int:
         """Code points of the longest prefix with at most ``budget`` tokens."""
         i = int(np.searchsorted(self.tokens, budget, "right")) - 1
         if i == len(self.parts):
             return int(self.chars[-1])
-        fit = np.flatnonzero(self.parts[i] <= budget - self.tokens[i])
-        return int(self.chars[i] + fit[-1])
+        left = budget - int(self.tokens[i])
+        return int(self.chars[i]) + max(n for n, count in enumerate(self.parts[i]) if count <= left)
 
 
 class Counter:
+    """Prefix counts of texts, from memoised chunks and pieces."""
+
     def __init__(self, vocabulary: byte_bpe.Vocabulary):
         self.vocabulary = vocabulary
-        self.memo: dict[str, np.ndarray] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.piece = byte_bpe.Memo(self._piece, byte_bpe.MEMO // 2)
+        self.chunk = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 2)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")") if vocabulary.specials else None
 
     def _piece(self, piece: str) -> list[int]:
         """Counts of the piece's prefixes by code points."""
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) > byte_bpe.MEMO:
-                self.pieces.clear()
-            counts, ends, at = self.vocabulary.prefix_counts(piece.encode("utf-8")), [0], 0
-            for c in piece:
-                at += len(c.encode("utf-8"))
-                ends.append(at)
-            found = [counts[e] for e in ends]
-            if len(piece) < 64:
-                self.pieces[piece] = found
-        return found
-
-    def _whole(self, chunk: str) -> np.ndarray:
+        raw = piece.encode("utf-8")
+        counts = self.vocabulary.prefix_counts(raw)
+        if len(raw) == len(piece):
+            return counts
+        return [0, *[counts[at + 1] for at in range(len(raw)) if at + 1 == len(raw) or raw[at + 1] & 0xC0 != 0x80]]
+
+    def _whole(self, chunk: str) -> list[int]:
         """Counts of the chunk's prefixes, each as if the text ended there.
 
         A prefix may split otherwise than the chunk does: where a run of white space or a
         contraction is cut, its last two pieces are split anew.
         """
-        counts, before, held = [0], [0], 0
-        pieces = self.vocabulary.pieces(chunk)
-        for k, piece in enumerate(pieces):
-            own = self._piece(piece)
-            last = pieces[k - 1] if k else ""
-            inside = bool(last) and _WHITE(last[-1]) and _WHITE(piece[0])
-            for n in range(1, len(piece) + 1):
-                if n < len(piece) and piece[0] == "'" or inside and (n < len(piece) or _WHITE(piece[-1])):
-                    back = before[-2] if k else 0
-                    counts.append(back + sum(self._piece(x)[-1] for x in self.vocabulary.pieces(last + piece[:n])))
-                else:
-                    counts.append(held + own[n])
-            held += own[-1]
-            before.append(held)
-        return np.array(counts, np.int32)
-
-    def _chunk(self, chunk: str) -> np.ndarray:
-        found = self.memo.get(chunk)
-        if found is None:
-            if len(self.memo) > byte_bpe.MEMO:
-                self.memo.clear()
-            found = self._whole(chunk)
-            if len(chunk) < 64:
-                self.memo[chunk] = found
-        return found
+        counts, held, before, last = [0], 0, 0, ""
+        for piece in self.vocabulary.pieces(chunk):
+            own, c = self.piece(piece), piece[0]
+            if c == "'" or last and (c <= " " or c > "~") and _WHITE(c) and _WHITE(last[-1]):
+                cut = piece if c != "'" and _WHITE(piece[-1]) else piece[:-1]
+                for n in range(1, len(cut) + 1):
+                    counts.append(before + sum(self.piece(x)[-1] for x in self.vocabulary.pieces(last + piece[:n])))
+                counts += [held + own[-1]] * (len(piece) - len(cut))
+            elif held:
+                counts += [held + x for x in own[1:]]
+            else:
+                counts += own[1:]
+            before, held, last = held, held + own[-1], piece
+        return counts
 
     def prefixes(self, text: str) -> PrefixCounts:
-        out: list[np.ndarray] = []
+        out: list[list[int]] = []
         for i, part in enumerate(self.specials.split(text) if self.specials else [text]):
             if i % 2:
                 out.append(self._special(part))
-                continue
-            parts = None if _RUNS.search(part) else part.split(" ")
-            if parts is None:
+            elif _RUNS.search(part):
                 out.append(self._whole(part))
-            else:
-                out.append(self._chunk(parts[0]))
-                get = self.memo.get
+            elif part:
+                parts = part.split(" ")
+                if parts[0]:
+                    out.append(self.chunk(parts[0]))
                 for chunk in parts[1:]:
                     key = " " + chunk
-                    found = get(key)
-                    out.append(self._chunk(key) if found is None else found)
-        return PrefixCounts([x for x in out if x.size > 1])
+                    out.append(self.chunk.new.get(key) or self.chunk(key))
+        return PrefixCounts(out)
 
-    def _special(self, content: str) -> np.ndarray:
-        counts = self._whole(content)
-        counts[-1] = 1
-        return counts
+    def _special(self, content: str) -> list[int]:
+        return [*self._whole(content)[:-1], 1]
 
 
 @functools.cache
