@@ -179,6 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     known = known.withColumn("fold", fold("doc_id").cast("int")).where("fold <> 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # ``most`` rows of ids
     rows = mapped(texts.select(F.col("doc_id").cast("long"), "label", "fold", "text"), _pool, "doc_id long, label int, fold int, x binary", vectors).limit(most).collect()
+    if not rows:
+        return vectors, 0.5
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), -1)
     y, part = np.array([r["label"] for r in rows], np.float64), np.array([r["fold"] for r in rows])
