@@ -124,15 +124,21 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Two layers, fitted by Adam on the log loss; scores are divided by a temperature."""
+    """Two layers, fitted by Adam on the log loss; logits are divided by a temperature.
+
+    Features that hardly vary among the fitted documents are left out, and none counts further
+    from the middle than ``FAR`` deviations, so a text unlike all of them is not thrown far off.
+    """
+
+    FAR = 4.0
 
     def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 11):
-        self.middle, self.scale = x.mean(0), x.std(0) + 1e-6
+        self.middle, self.scale = x.mean(0), np.where(x.std(0) > 1e-3, x.std(0), np.inf)
         random = np.random.default_rng(seed)
         self.weights = [random.normal(0, np.sqrt(2 / x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN), random.normal(0, np.sqrt(1 / HIDDEN), HIDDEN), np.zeros(1)]
         self.temperature = 1.0
         first, second = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights]
-        z, step = (x - self.middle) / self.scale, 0
+        z, step = self._near(x), 0
         for _ in range(EPOCHS):
             for rows in np.array_split(random.permutation(len(y)), max(1, len(y) // 64)):
                 step += 1
@@ -141,6 +147,9 @@ class Network:
                     v += 0.001 * (g * g - v)
                     w -= 3e-3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
+    def _near(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.middle) / self.scale, -self.FAR, self.FAR)
+
     def _slopes(self, z, y):
         a, b, c, d = self.weights
         hidden = np.maximum(z @ a + b, 0)
@@ -150,7 +159,7 @@ class Network:
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         a, b, c, d = self.weights
-        return np.maximum((x - self.middle) / self.scale @ a + b, 0) @ c + d
+        return np.maximum(self._near(x) @ a + b, 0) @ c + d
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """The temperature with the least log loss, over a grid of ratios."""
