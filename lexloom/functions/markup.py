@@ -94,26 +94,41 @@ def _span(value: str | None) -> int:
 
 
 class _Tables(HTMLParser):
-    """The cells of each outermost table: rows of (text, columns, rows, in head)."""
+    """The cells of each outermost table: rows of (text, columns, rows, in head).
 
-    def __init__(self):
+    HTML says spans as colspan and rowspan; the exchange model of CALS names first and last columns
+    and counts further rows.
+    """
+
+    def __init__(self, row: str = "tr", cells: tuple[str, ...] = ("td", "th")):
         super().__init__(convert_charrefs=True)
-        self.tables, self.depth, self.head, self.cell = [], 0, False, None
+        self.row, self.cells = row, cells
+        self.tables, self.depth, self.head, self.cell, self.names = [], 0, False, None, {}
+
+    def _spans(self, values: dict) -> tuple[int, int]:
+        if "namest" in values and "nameend" in values:
+            first, last = self.names.get(values["namest"]), self.names.get(values["nameend"])
+            return (last - first + 1 if first is not None and last is not None and last >= first else 1), _span(str(int(values["morerows"]) + 1) if (values.get("morerows") or "").isdigit() else None)
+        if (values.get("morerows") or "").isdigit():
+            return 1, _span(str(int(values["morerows"]) + 1))
+        return _span(values.get("colspan")), _span(values.get("rowspan"))
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             self.depth += 1
             if self.depth == 1:
                 self.tables.append([])
+                self.names = {}
         if self.depth != 1:
             return
-        if tag == "thead":
+        if tag == "colspec":
+            self.names[dict(attrs).get("colname")] = len(self.names)
+        elif tag == "thead":
             self.head = True
-        elif tag == "tr":
+        elif tag == self.row:
             self.tables[-1].append([])
-        elif tag in ("td", "th") and self.tables[-1]:
-            values = dict(attrs)
-            self.cell = ["", _span(values.get("colspan")), _span(values.get("rowspan")), self.head]
+        elif tag in self.cells and self.tables[-1]:
+            self.cell = ["", *self._spans(dict(attrs)), self.head]
             self.tables[-1][-1].append(self.cell)
 
     def handle_endtag(self, tag):
@@ -121,7 +136,7 @@ class _Tables(HTMLParser):
             self.depth -= 1
         elif tag == "thead":
             self.head = False
-        elif tag in ("td", "th") and self.depth == 1:
+        elif tag in self.cells and self.depth == 1:
             self.cell = None
 
     def handle_data(self, data):
@@ -162,18 +177,21 @@ def grid_of(rows: list[list]) -> str:
     return "\n".join([shown(head), shown(["---"] * width), *map(shown, grid)])
 
 
-def _grids(html: pd.Series) -> pd.Series:
+def _grids(row: str, cells: tuple[str, ...], html: pd.Series) -> pd.Series:
     def grids(text: str | None) -> list[str]:
-        reader = _Tables()
+        reader = _Tables(row, cells)
         reader.feed(text or "")
         return [g for g in map(grid_of, reader.tables) if g]
 
     return html.map(grids)
 
 
-def table_grids(html: Column) -> Column:
-    """The tables of each page as pipe tables."""
-    return F.pandas_udf(_grids, "array<string>")(html)
+def table_grids(html: Column, row: str = "tr", cells: tuple[str, ...] = ("td", "th")) -> Column:
+    """The tables of each page as pipe tables; ``row`` and ``cells`` name the tags of the dialect."""
+    def grids(html: pd.Series) -> pd.Series:
+        return _grids(row, cells, html)
+
+    return F.pandas_udf(grids, "array<string>")(html)
 
 
 @udtf(returnType="block string, version int, src string, pub string, eff string, text string, expiry string")

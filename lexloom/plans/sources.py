@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from lexloom import views
 from lexloom.plans.catalogue import query
 from lexloom.session import importable, materialise, scratch
-from lexloom.sources import archives, catalogue, sinks
+from lexloom.sources import archives, catalogue, registry, sinks
 from lexloom.views import iso, with_views
 
 
@@ -243,3 +243,27 @@ def identical_snapshots(spark, sf_dir):
 def halving_pages(spark, sf_dir):
     """Pages that would hit the row cap are split until none does."""
     return views.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("n")).withColumn("pages", F.ceil(F.col("n") / 8.0))
+
+
+_SIGNALS = ("exact", "cumulative", "snapshot", "probe", "none")
+
+
+@query("daily_signals", f"""{with_views('log')},
+r AS (SELECT norm AS key, max(day) AS day, count(*) AS digest FROM log GROUP BY norm), b AS (SELECT norm AS key, count(*) AS digest FROM log WHERE day < DATE '2024-01-29' AND norm < 100 GROUP BY norm)
+SELECT 'exact' AS signal, key FROM r WHERE day = DATE '2024-01-29' UNION ALL SELECT 'cumulative', key FROM r WHERE day = DATE '2024-01-29'
+UNION ALL SELECT 'snapshot', r.key FROM r LEFT JOIN b ON r.key = b.key WHERE b.digest IS NULL OR b.digest <> r.digest UNION ALL SELECT 'probe', key FROM r WHERE key > (SELECT max(key) FROM b)""")
+def daily_signals(spark, sf_dir):
+    """What each way of signalling a change reports for one day."""
+    log = views.log(spark, sf_dir).withColumnRenamed("norm", "key")
+    rows = log.groupBy("key").agg(F.max("day").alias("day"), F.count(F.lit(1)).alias("digest"))
+    before = log.where("day < DATE '2024-01-29' AND key < 100").groupBy("key").agg(F.count(F.lit(1)).alias("digest"))
+    parts = [registry.changed(signal, rows, before, "2024-01-29").select(F.lit(signal).alias("signal"), "key") for signal in _SIGNALS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+@query("source_registry", "SELECT * FROM (VALUES " + ", ".join(f"('{x.code}', '{x.formats}', '{x.history}', '{x.signal}', '{x.status}')" for x in registry.SOURCES) + ") v(code, formats, history, signal, status)")
+def source_registry(spark, sf_dir):
+    return registry.table(spark)

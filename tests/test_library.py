@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import dates as d, markup, nested as n, text as t
 from lexloom.operators import enrich, graph, reconcile, sequence
-from lexloom.sources import archives, catalogue, sinks
+from lexloom.sources import archives, catalogue, registry, sinks
 from lexloom.streaming import daily
 
 
@@ -74,6 +74,20 @@ def test_blocks_and_tables():
     assert markup.grid_of(reader.tables[0]) == "| h | h |\n| --- | --- |\n| a |  |"
 
 
+def test_named_columns_span():
+    reader = markup._Tables("row", ("entry",))
+    reader.feed('<table><tgroup><colspec colname="a"><colspec colname="b"><tbody><row><entry namest="a" nameend="b">x</entry></row><row><entry morerows="1">y</entry><entry>1</entry></row><row><entry>2</entry></row></tbody></tgroup></table>')
+    assert markup.grid_of(reader.tables[0]).split("\n")[2:] == ["| x | x |", "| y | 1 |", "| y | 2 |"]
+
+
+def test_every_source_has_a_known_signal(spark):
+    rows = spark.createDataFrame([(1, date(2024, 1, 1), "a"), (2, date(2024, 1, 2), "b")], "key bigint, day date, digest string")
+    before = spark.createDataFrame([(1, "a")], "key bigint, digest string")
+    got = {s: sorted(r["key"] for r in registry.changed(s, rows, before, "2024-01-01").collect()) for s in {x.signal for x in registry.SOURCES}}
+    assert got == {"exact": [1], "cumulative": [1], "snapshot": [2], "probe": [2], "none": []}
+    assert len({x.code for x in registry.SOURCES}) == 33
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 4)], "src bigint, dst bigint")
     seeds = spark.createDataFrame([(1,), (4,)], "node bigint")
