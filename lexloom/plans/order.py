@@ -6,24 +6,28 @@ from pyspark.sql import Window, functions as F
 
 from lexloom import views
 from lexloom.plans.catalogue import query
+from lexloom.session import materialise
 from lexloom.views import iso, with_views
 
 
 def numbered(rows, *order):
-    """Global row numbers without one task sorting everything: rank inside ranges, then add what lies before.
+    """Global row numbers (n, from 1) without one task sorting everything.
 
-    A prefix of the first sort key's day cuts the rows into ranges; their sizes are few, so the
-    running sum over them is small, and each range is numbered on its own.
+    Rows are cut into ranges of the order, as many as there are shuffle partitions and about as
+    large as each other, and written with their range; each range is numbered on its own, and what
+    lies before a range is a running sum over one row a range.
     """
-    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(rows.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))).select("_range", F.coalesce("_before", F.lit(0)).alias("_before"))
     local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return rows.withColumn("_local", local).join(F.broadcast(before), "_range").withColumn("n", F.col("_before") + F.col("_local")).drop("_range", "_local", "_before")
+    return ranged.withColumn("_local", local).join(F.broadcast(before), "_range").withColumn("n", F.col("_before") + F.col("_local")).drop("_range", "_local", "_before")
 
 
 def _orders(spark, sf_dir):
-    orders = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("day"), F.col("o_custkey").alias("norm"), "o_totalprice")
-    return orders.withColumn("_range", F.date_format("day", "yyyy-MM"))
+    return views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("day"), F.col("o_custkey").alias("norm"), "o_totalprice")
 
 
 _N = "n AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS n FROM orders)"
@@ -65,8 +69,7 @@ def numeric_else_text_order(spark, sf_dir):
     key = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.col("p_size").cast("string"))
     number = F.col("key").try_cast("int")
     distinct = views.table(spark, sf_dir, "part").select(key.alias("key")).distinct()
-    ranged = distinct.withColumn("_range", F.coalesce(F.lpad(number.cast("string"), 10, "0"), F.concat(F.lit("z"), F.left("key", F.lit(1)))))
-    return numbered(ranged, number, "key").select("key", F.col("n").alias("place"))
+    return numbered(distinct, F.asc_nulls_last(number), "key").select("key", F.col("n").alias("place"))
 
 
 @query("offset_limit", "SELECT p_partkey AS id, p_name AS name FROM part ORDER BY p_partkey LIMIT 50 OFFSET 100")
@@ -88,8 +91,10 @@ def topk_with_more(spark, sf_dir):
 
 @query("systematic_sample", "WITH n AS (SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS n FROM documents) SELECT doc_id FROM n WHERE (n - 1) % 7 = 0")
 def systematic_sample(spark, sf_dir):
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))
-    return views.table(spark, sf_dir, "documents").select("doc_id", place.alias("n")).where("(n - 1) % 7 = 0").select("doc_id")
+    """Every seventh of each language: places come from one global numbering, so no language meets in one task."""
+    rows = numbered(views.table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id")
+    first = rows.groupBy("lang").agg(F.min("n").alias("first"))
+    return rows.join(first, "lang").where("(n - first) % 7 = 0").select("doc_id")
 
 
 @query("stratified_round_robin", """WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('s' || doc_id), doc_id) AS k FROM documents WHERE doc_id > 4),
@@ -99,7 +104,7 @@ def stratified_round_robin(spark, sf_dir):
     """One of each stratum in turn, in an order that a seed fixes; pinned rows always."""
     docs = views.table(spark, sf_dir, "documents").select("doc_id", "lang")
     order = Window.partitionBy("lang").orderBy(F.md5(F.concat(F.lit("s"), "doc_id").cast("binary")), "doc_id")
-    sample = docs.where("doc_id > 4").withColumn("k", F.row_number().over(order)).orderBy("k", "lang").limit(60)
+    sample = docs.where("doc_id > 4").withColumn("k", F.row_number().over(order)).where("k <= 60").orderBy("k", "lang").limit(60)
     return sample.select("doc_id").unionAll(docs.where("doc_id <= 4").select("doc_id"))
 
 

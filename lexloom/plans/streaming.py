@@ -101,7 +101,7 @@ def stream_windows(spark, sf_dir):
 @query("resume_after_crash", f"""{with_views('log')}, n AS (SELECT id, row_number() OVER (ORDER BY day, id) AS n FROM log) SELECT (n - 1) // 1000 AS chunk, count(*) AS n_events, min(id) AS least_id FROM n GROUP BY 1""")
 def resume_after_crash(spark, sf_dir):
     """A run that stops half-way and is started again writes every chunk once."""
-    rows = numbered(views.log(spark, sf_dir).select("id", "day", F.col("day").alias("_range")), "day", "id").withColumn("chunk", F.expr("(n - 1) div 1000"))
+    rows = numbered(views.log(spark, sf_dir).select("id", "day"), "day", "id").withColumn("chunk", F.expr("(n - 1) div 1000"))
     path = scratch(spark, "resume")
     rows.where("chunk < 4").select("id", "chunk").write.parquet(path)  # what the first run got done
     done = spark.read.parquet(path).select("chunk").distinct()
