@@ -19,6 +19,7 @@ import functools
 import hashlib
 import json
 import re
+import struct
 
 import ahocorasick
 import numpy as np
@@ -50,11 +51,15 @@ class Vocabulary:
         self.ids = {b: i for i, b in tokens.items()}
         self.pattern = regex.compile(pattern)
         self._fits: dict[int, bool] = {}
+        reached = {t: i for t, i in self.ids.items() if len(t) == 1 or self.merged(t) == [t]}  # no merges lead to others
         self.automaton = ahocorasick.Automaton()
-        for token, number in self.ids.items():
-            if len(token) == 1 or self.merged(token) == [token]:  # else no merges lead to it
-                self.automaton.add_word(token.decode("latin-1"), (len(token), number))
+        for token, number in reached.items():
+            self.automaton.add_word(token.decode("latin-1"), (len(token), number))
         self.automaton.make_automaton()
+        self.lengths, self.shorter = [0] * (max(tokens) + 1), [-1] * (max(tokens) + 1)
+        for token, number in reached.items():
+            self.lengths[number] = len(token)
+            self.shorter[number] = next((reached[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in reached), -1)
 
     def _order(self, a: bytes, b: bytes) -> int | None:
         return self.ids.get(a + b) if self.pairs is None else self.pairs.get((a, b))
@@ -80,28 +85,32 @@ class Vocabulary:
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        size = len(piece)
-        at: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, match in self.automaton.iter(piece.decode("latin-1")):
-            at[end - match[0] + 1].append(match)  # ends rise, so lengths rise at each place
+        size, lengths, shorter, known = len(piece), self.lengths, self.shorter, self._fits.get
+        longest = [-1] * (size + 1)
+        for end, (length, number) in self.automaton.iter(piece.decode("latin-1")):
+            longest[end + 1 - length] = number  # ends rise, so the longest comes last
         given_up, path = bytearray(size + 1), []
-        place, choice, last = 0, len(at[0]) - 1 if size else -1, -1
+        place, number, last = 0, longest[0], -1
         while place < size:
-            here = at[place]
-            while choice >= 0:
-                length, number = here[choice]
-                if not given_up[place + length] and (last < 0 or self.fits(last, number)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                path.append((place, choice, number))
-                place, last = place + length, number
-                choice = len(at[place]) - 1 if place < size else -1
+            while number >= 0:
+                after = place + lengths[number]
+                if not given_up[after]:
+                    if last < 0:
+                        break
+                    fits = known(last << _SHIFT | number)
+                    if self.fits(last, number) if fits is None else fits:
+                        break
+                number = shorter[number]
+            if number >= 0:
+                path.append(number)
+                place, last = after, number
+                number = longest[place]
             else:
                 given_up[place] = 1
-                place, choice, _ = path.pop()
-                choice, last = choice - 1, path[-1][2] if path else -1
-        return [number for _, _, number in path]
+                number = path.pop()
+                place -= lengths[number]
+                number, last = shorter[number], path[-1] if path else -1
+        return path
 
     def prefix_counts(self, piece: bytes) -> list[int]:
         """The token count of every prefix of the piece's bytes, 0 for the empty one.
@@ -181,40 +190,24 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.piece: dict[str, bytes] = {}
+        self.piece = Memo(self._piece, MEMO // 2)
+        self.chunk = Memo(self._whole, MEMO // 2)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.piece.get(piece)
-        if found is None:
-            if len(self.piece) > MEMO:
-                self.piece.clear()
-            found = np.array(self.vocabulary.encode_piece(piece.encode("utf-8")), "<u4").tobytes()
-            if len(piece) < 64:
-                self.piece[piece] = found
-        return found
+        ids = self.vocabulary.encode_piece(piece.encode("utf-8"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _whole(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self.vocabulary.pieces(text)))
-
-    def _chunk(self, memo: dict[str, bytes], chunk: str, space: str) -> bytes:
-        found = memo.get(chunk)
-        if found is None:
-            if len(memo) > MEMO:
-                memo.clear()
-            found = self._whole(space + chunk)
-            if len(chunk) < 64:
-                memo[chunk] = found
-        return found
+        return b"".join(map(self.piece, self.vocabulary.pieces(text)))
 
     def encode(self, text: str) -> bytes:
         parts = chunks(text)
         if parts is None:
             return self._whole(text)
-        get, out = self.spaced.get, [self._chunk(self.first, parts[0], "")]
-        for chunk in parts[1:]:
-            out.append(get(chunk) or self._chunk(self.spaced, chunk, " "))
+        out = [self.chunk(parts[0])]
+        for part in parts[1:]:
+            key = " " + part
+            out.append(self.chunk.new.get(key) or self.chunk(key))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
