@@ -40,23 +40,34 @@ KEPT_BYTES = 64 << 20
 _BITS = np.arange(64, dtype=np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all word shingles of a text in a row, repeated ones too."""
     words = tx.words_of((text or "")) if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words).lower()
     hashed = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return hashed(joined, SEED)
+        return np.array([hashed(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     view = memoryview(joined)
     count = len(words) - shingle + 1
-    h = np.fromiter((hashed(view[a:b], SEED) for a, b in zip(starts[:count].tolist(), ends[shingle - 1 :].tolist(), strict=True)), np.uint64, count)
+    return np.fromiter((hashed(view[a:b], SEED) for a, b in zip(starts[:count].tolist(), ends[shingle - 1 :].tolist(), strict=True)), np.uint64, count)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
+    if h.size < 2:
+        return int(h[0]) if h.size else 0
     ones = np.zeros(64, np.int64)
-    for at in range(0, count, 8192):
+    for at in range(0, h.size, 8192):
         ones += np.unpackbits(h[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.bitwise_or.reduce(np.where(2 * ones > count, np.uint64(1) << _BITS, np.uint64(0))))
+    return int(np.bitwise_or.reduce(np.where(2 * ones > h.size, np.uint64(1) << _BITS, np.uint64(0))))
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def _prints(batches, shingle: int):

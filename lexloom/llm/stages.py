@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lexloom.llm import line_dedup as lines, packing as packs, quality_model, quality_rules as rules, simhash
+from lexloom.llm import line_dedup as lines, near_copies, packing as packs, quality_model, quality_rules as rules
 
 
 def _with_text(docs: DataFrame, judged: DataFrame, text: str) -> DataFrame:
@@ -32,8 +32,8 @@ def line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays."""
-    found = simhash.near_components(simhash.fingerprints(docs))
+    """The document with the smallest id of each component of near copies stays (5-word Jaccard of 0.8 or more)."""
+    found = near_copies.similar_components(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
