@@ -19,14 +19,14 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lexloom.llm import store
+from lexloom.llm import store, token_counts
 
 BUCKETS, BUDGET, CELL_ROWS = 8, 16_384, 8192
 EXACT_BITS = 9
 
 
 def word_count(text_col: str = "text"):
-    """The length that packing counts by default: words between white space."""
+    """The length that ``pack`` counts if none is given: words between white space."""
     return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
@@ -82,5 +82,13 @@ def pack(docs: DataFrame, length=None, buckets: int = BUCKETS, budget: int = BUD
         F.pmod("place", pick(each)).cast("int").alias("batch_place"))
 
 
+def pack_tokens(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``pack`` by the tokens that ``op8_token_counts`` counts."""
+    import public_tokenizers
+
+    counted = token_counts.token_totals(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, id_col, text_col)
+    return pack(counted, F.col("n_tokens"), buckets, budget)
+
+
 def op2_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))

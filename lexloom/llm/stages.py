@@ -39,5 +39,5 @@ def simhash_near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document that is left, in its length bucket and batch."""
-    return packs.pack(docs)
+    """Every document that is left, in its length bucket and batch, by tokens."""
+    return packs.pack_tokens(docs)

@@ -66,6 +66,8 @@ class Counter:
         self.vocabulary = vocabulary
         self.piece = byte_bpe.Memo(self._piece, byte_bpe.MEMO // 2)
         self.chunk = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 2)
+        self.piece_total = byte_bpe.Memo(self._piece_total, byte_bpe.MEMO // 2)
+        self.chunk_total = byte_bpe.Memo(self._chunk_total, byte_bpe.MEMO // 2)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")") if vocabulary.specials else None
 
     def _piece(self, piece: str) -> list[int]:
@@ -116,6 +118,28 @@ class Counter:
     def _special(self, content: str) -> list[int]:
         return [*self._whole(content)[:-1], 1]
 
+    def _piece_total(self, piece: str) -> int:
+        return len(self.vocabulary.encode_piece(piece.encode("utf-8")))
+
+    def _chunk_total(self, chunk: str) -> int:
+        return sum(map(self.piece_total, self.vocabulary.pieces(chunk)))
+
+    def total(self, text: str) -> int:
+        """Tokens of the whole text: ``prefixes(text).total`` without the prefixes."""
+        number = 0
+        for i, part in enumerate(self.specials.split(text) if self.specials else [text]):
+            if i % 2:
+                number += 1
+            elif _RUNS.search(part):
+                number += self._chunk_total(part)
+            elif part:
+                first, *others = part.split(" ")
+                number += self.chunk_total(first) if first else 0
+                for chunk in others:
+                    key = " " + chunk
+                    number += self.chunk_total.new.get(key) or self.chunk_total(key)
+        return number
+
 
 @functools.cache
 def _counter(path: str, pattern: str) -> Counter:
@@ -141,6 +165,19 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, i
     return mapped(texts, _count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, chars_within_limit long", path, pattern, limit)
 
 
+def _totals(batches, path: str, pattern: str):
+    counter = _counter(path, pattern)
+    for batch in batches:
+        totals = [counter.total(x or "") for x in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(totals, pa.int64())], ["doc_id", "n_tokens"])
+
+
+def token_totals(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens) of every row, as ``token_counts`` gives them."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return mapped(texts, _totals, "doc_id long, n_tokens long", path, pattern)
+
+
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
