@@ -61,7 +61,7 @@ def probe_sequence(spark, sf_dir):
 
     Gaps between neighbouring hits tell the same, so only hits are sorted, in ranges.
     """
-    hits = views.table(spark, sf_dir, "part").where("p_size < 45 AND p_partkey BETWEEN 1 AND 1500").select(F.col("p_partkey").alias("n")).distinct()
+    hits = views.table(spark, sf_dir, "part").where("p_size < 45 AND p_partkey >= 1").select(F.col("p_partkey").alias("n")).distinct()
     first = hits.agg(F.min("n").alias("least"))
     nexts = hits.select((F.col("n") - 1).alias("n")).union(hits.select((F.col("n") - 2).alias("n"))).union(hits.select((F.col("n") - 3).alias("n"))).distinct().withColumn("more", F.lit(True))
     ends = hits.join(nexts, "n", "left").where("more IS NULL").agg(F.min("n").alias("last"))
