@@ -33,11 +33,11 @@ from lexloom.llm.index import mapped
 
 SHINGLE, SIMILARITY, CANDIDATE_RADIUS = 5, 0.8, 16
 #: Texts of a tile, and shingles of a tile unless one text has more.
-TILE, TILE_SHINGLES = 2048, 1 << 20
+TILE, TILE_SHINGLES = 2048, 1 << 18
 #: Tiles that a worker keeps open.
-KEPT_TILES = 4
+KEPT_TILES = 3
 #: Bytes of a row group of written tiles.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 #: Rows without an id get one from here on while they are compared.
 _NAMELESS = 1 << 62
 _PRINTS = {"doc_id": "long", "key": "long", "fp": "long", "n": "long", "text": "string"}
@@ -190,6 +190,8 @@ def _compare(batches, path: str, shingle: int, similarity: float, radius: int):
                 if links:
                     i, j = np.array(links).T
                     yield pa.RecordBatch.from_arrays([pa.array(a.heads[i]), pa.array(b.heads[j])], ["a", "b"])
+    _open.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def similar_components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = CANDIDATE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
