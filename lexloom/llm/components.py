@@ -41,3 +41,15 @@ def components(edges: DataFrame) -> DataFrame:
         nodes = _renamed(nodes, parent, "root")
         edges = store.materialise(tidy(_renamed(_renamed(edges, parent, "a"), parent, "b")), "edges")
     return nodes
+
+
+def named_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root, component_id) of all of ``nodes`` (node, least_id).
+
+    ``root`` is the smallest node that one reaches, ``component_id`` the smallest least_id among
+    the nodes it reaches; null ids are passed over, and a component of nothing else has the name null.
+    """
+    found = components(edges).select(F.col("node").alias("of"), "root")
+    rooted = store.materialise(nodes.join(found, nodes["node"] == found["of"], "left").select("node", "least_id", F.coalesce("root", "node").alias("root")), "rooted")
+    names = store.materialise(rooted.groupBy(F.col("root").alias("by")).agg(F.min("least_id").alias("component_id")), "names")
+    return rooted.join(names, rooted["root"] == names["by"]).select("node", "root", "component_id")

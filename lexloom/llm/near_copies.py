@@ -12,8 +12,10 @@ deviation of 2.9; the radius lies more than two deviations above.
 
 Defined results: a null, empty or blank text has no shingle and equals only its like; texts of
 fewer words than a shingle have their whole word sequence as the only one; repeated rows share a
-component; rows with a null id get their component but never name it unless all its ids are null;
-an empty table gives an empty table; further columns are not read.
+component; rows with a null id link like any other, and a component's name is the smallest id among
+its rows, null only if every one is; ids are cast to long; texts of any length are compared whole,
+one of very many shingles in a tile of its own; an empty table gives an empty table; further columns
+are not read, and ``one_of_each`` passes them through.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexloom.llm import simhash, store
-from lexloom.llm.components import components
+from lexloom.llm import simhash, store, text as tx
+from lexloom.llm.components import named_components
 from lexloom.llm.index import mapped
 
 SHINGLE, SIMILARITY, CANDIDATE_RADIUS = 5, 0.8, 16
@@ -38,9 +40,7 @@ TILE, TILE_SHINGLES = 2048, 1 << 18
 KEPT_TILES = 3
 #: Bytes of a row group of written tiles.
 GROUP_BYTES = 4 << 20
-#: Rows without an id get one from here on while they are compared.
-_NAMELESS = 1 << 62
-_PRINTS = {"doc_id": "long", "key": "long", "fp": "long", "n": "long", "text": "string"}
+_PRINTS = {"doc_id": "long", "key": "long", "fp": "long", "n": "long", "text": "string", "text_hash": "long"}
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -51,14 +51,16 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 def _prints(batches, shingle: int, names: list[str]):
     for batch in store.blocks(batches, "text"):
         texts, keys, prints, sizes = batch.column("text").to_pylist(), [], [], []
+        # As Spark's xxhash64 gives it: the seed for null.
+        marks = [simhash.SEED if x is None else xxhash.xxh64_intdigest(x, simhash.SEED) for x in texts] if "text_hash" in names else []
         for text in texts:
             hashes = simhash.shingle_hashes(text, shingle)
             own = np.unique(hashes)
             keys.append(xxhash.xxh64_intdigest(own.tobytes()))
-            prints.append(simhash.majority(hashes))
+            prints.append(simhash.majority(hashes) if "fp" in names else 0)
             sizes.append(own.size)
         signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-        columns = {"doc_id": batch.column("doc_id"), "key": signed(keys), "fp": signed(prints), "n": pa.array(sizes, pa.int64()), "text": batch.column("text")}
+        columns = {"doc_id": batch.column("doc_id") if "doc_id" in names else None, "key": signed(keys), "fp": signed(prints), "n": pa.array(sizes, pa.int64()), "text": batch.column("text"), "text_hash": signed(marks)}
         yield pa.RecordBatch.from_pydict({x: columns[x] for x in names})
 
 
@@ -69,12 +71,12 @@ def _tiles(batches, size: int, most: int):
     number, held, shingles = TaskContext.get().partitionId() << 32, [], 0
 
     def tile():
-        fps, heads, ns = (np.array([r[k] for r in held], np.int64) for k in range(3))
-        cells = {"tile": number, "least": int(ns.min()), "most": int(ns.max()), "fps": fps.tobytes(), "heads": heads.tobytes(), "ns": ns.tobytes(), "texts": [r[3] for r in held]}
+        fps, keys, ns = (np.array([r[k] for r in held], np.int64) for k in range(3))
+        cells = {"tile": number, "least": int(ns.min()), "most": int(ns.max()), "fps": fps.tobytes(), "keys": keys.tobytes(), "ns": ns.tobytes(), "texts": [r[3] for r in held]}
         return pa.RecordBatch.from_pydict({k: [x] for k, x in cells.items()})
 
     for batch in store.blocks(batches, "text"):
-        for row in zip(*[batch.column(x).to_pylist() for x in ("fp", "head", "n", "text")], strict=True):
+        for row in zip(*[batch.column(x).to_pylist() for x in ("fp", "key", "n", "text")], strict=True):
             if held and (len(held) == size or shingles + row[2] > most):
                 yield tile()
                 number, held, shingles = number + 1, [], 0
@@ -84,7 +86,7 @@ def _tiles(batches, size: int, most: int):
         yield tile()
 
 
-TILE_SCHEMA = "tile long, least long, most long, fps binary, heads binary, ns binary, texts array<string>"
+TILE_SCHEMA = "tile long, least long, most long, fps binary, keys binary, ns binary, texts array<string>"
 
 
 class _Tile:
@@ -92,8 +94,8 @@ class _Tile:
 
     def __init__(self, fs, name: str, group: int, tile: int):
         self.at = fs, name, group, tile
-        row = self._row(["tile", "fps", "heads", "ns"])
-        self.fps, self.heads, self.ns = np.frombuffer(row["fps"].as_py(), np.uint64), np.frombuffer(row["heads"].as_py(), np.int64), np.frombuffer(row["ns"].as_py(), np.int64)
+        row = self._row(["tile", "fps", "keys", "ns"])
+        self.fps, self.keys, self.ns = np.frombuffer(row["fps"].as_py(), np.uint64), np.frombuffer(row["keys"].as_py(), np.int64), np.frombuffer(row["ns"].as_py(), np.int64)
         self.texts, self.sets = None, {}
 
     def _row(self, columns: list[str]):
@@ -189,29 +191,43 @@ def _compare(batches, path: str, shingle: int, similarity: float, radius: int):
                 links = _verified(a, b, shingle, similarity, radius)
                 if links:
                     i, j = np.array(links).T
-                    yield pa.RecordBatch.from_arrays([pa.array(a.heads[i]), pa.array(b.heads[j])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a.keys[i]), pa.array(b.keys[j])], ["a", "b"])
     _open.clear()
     pa.default_memory_pool().release_unused()
 
 
-def similar_components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = CANDIDATE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id): rows are joined over pairs of texts of ``similarity`` or more."""
+def _components(docs: DataFrame, shingle: int, similarity: float, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_hash, root, component_id) of every row; ``root`` tells components apart where names are null."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = lambda *names: mapped(texts, _prints, ", ".join(f"{x} {_PRINTS[x]}" for x in names), shingle, list(names))
-    nameless = F.lit(_NAMELESS).bitwiseOR(F.shiftrightunsigned("key", 2))
-    groups = prints(*_PRINTS).groupBy("key").agg(F.min("doc_id").alias("least_id"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.any_value("text").alias("text"))
-    heads = groups.select(F.coalesce("least_id", nameless).alias("head"), "key", "fp", "n", "text")
-    parts = max(1, math.ceil(texts.count() / (4 * TILE)))
-    ordered = heads.repartitionByRange(parts, "n", "fp").sortWithinPartitions("n", "fp").select("fp", "head", "n", "text")
+    groups = prints("key", "fp", "n", "text").groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.any_value("text").alias("text"))
+    rows = store.materialise(prints("doc_id", "key", "text_hash"), "near-keys")
+    own = rows.groupBy(F.col("key").alias("node")).agg(F.min("doc_id").alias("least_id"))
+    parts = max(1, math.ceil(rows.count() / (4 * TILE)))
+    ordered = groups.repartitionByRange(parts, "n", "fp").sortWithinPartitions("n", "fp").select("fp", "key", "n", "text")
     path = store.fresh_path(spark, "near-tiles")
     mapped(ordered, _tiles, TILE_SCHEMA, TILE, TILE_SHINGLES).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     tiles = spark.read.schema(TILE_SCHEMA).parquet(path).select("tile")
     spread = max(1, min(tiles.count(), 8 * spark.sparkContext.defaultParallelism))
     edges = mapped(tiles.repartition(spread), _compare, "a long, b long", path, shingle, similarity, radius)
-    found = components(edges)
-    rows = store.materialise(prints("doc_id", "key"), "near-keys")
-    own = rows.groupBy("key").agg(F.min("doc_id").alias("least_id")).select(F.col("key").alias("own"), F.coalesce("least_id", nameless).alias("head"))
-    roots = own.join(found, own["head"] == found["node"], "left").select("own", F.coalesce("root", "head").alias("root"))
-    out = rows.join(roots, rows["key"] == roots["own"])
-    return out.select("doc_id", F.when(F.col("root") < _NAMELESS, F.col("root")).alias("component_id"))
+    named = named_components(own, edges)
+    return rows.join(named, rows["key"] == named["node"]).select("doc_id", "text_hash", "root", "component_id")
+
+
+def similar_components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = CANDIDATE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id): rows are joined over pairs of texts of ``similarity`` or more."""
+    return _components(docs, shingle, similarity, radius, id_col, text_col).select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = CANDIDATE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest id, null ids last.
+
+    Among rows that repeat this id the smallest hash of the text decides, and of rows equal in
+    both one stays.
+    """
+    found = _components(docs, shingle, similarity, radius, id_col, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    picked = found.groupBy("root").agg(F.min(place).alias("first")).select(F.coalesce("first.doc_id", F.lit(tx.NO_ID)).alias("_id"), F.col("first.text_hash").alias("_hash"))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(tx.NO_ID)), "_hash": F.xxhash64(text_col)})
+    return keyed.join(picked, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(docs.columns)

@@ -14,12 +14,15 @@ price of exactness, and it is spread over tasks evenly as every tile has about t
 
 Defined results: a null, empty or blank text has fingerprint zero and links like any other; texts
 of fewer words than a shingle hash their whole word sequence; repeated rows share a component;
-rows with a null id get their component but never name it unless all its ids are null; an empty
-table gives an empty table; further columns are not read.
+rows with a null id link like any other and get their component, whose name is the smallest id
+among its rows and null only if every one is; ids are cast to long, so a text that is no number
+fails; a very long text is hashed whole, in blocks of 8,192 shingles; an empty table gives an empty
+table; further columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import OrderedDict
 
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm import store, text as tx
-from lexloom.llm.components import components
+from lexloom.llm.components import named_components
 from lexloom.llm.index import mapped
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -85,29 +88,22 @@ def _quarters(fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp.view(np.uint16).reshape(-1, 4))
 
 
-TILE_SCHEMA = "tile long, low binary, high binary, fps binary, heads binary"
+TILE_SCHEMA = "tile long, low binary, high binary, fps binary"
 
 
 def _tiles(batches, size: int):
     """Sorted rows in, a row for each run of ``size`` out."""
     from pyspark import TaskContext
 
-    number, fps, heads = TaskContext.get().partitionId() << 32, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in [*batches, None]:
+    number, fps = TaskContext.get().partitionId() << 32, np.zeros(0, np.int64)
+    for batch in itertools.chain(batches, [None]):
         if batch is not None:
-            fps, heads = np.append(fps, batch.column("fp").to_numpy()), np.append(heads, batch.column("head").to_numpy())
+            fps = np.append(fps, batch.column("fp").to_numpy())
         while fps.size >= size or (batch is None and fps.size):
             counts = _quarters(fps[:size].copy())
-            cells = (number, counts.min(0).tobytes(), counts.max(0).tobytes(), fps[:size].tobytes(), heads[:size].tobytes())
-            yield pa.RecordBatch.from_pydict(dict(zip(("tile", "low", "high", "fps", "heads"), [[x] for x in cells], strict=True)))
-            number, fps, heads = number + 1, fps[size:], heads[size:]
-
-
-class Tiles:
-    """The written tiles; a worker opens the boxes of all and the rows of those it compares."""
-
-    def __init__(self, path: str):
-        self.path = path
+            cells = (number, counts.min(0).tobytes(), counts.max(0).tobytes(), fps[:size].tobytes())
+            yield pa.RecordBatch.from_pydict(dict(zip(("tile", "low", "high", "fps"), [[x] for x in cells], strict=True)))
+            number, fps = number + 1, fps[size:]
 
 
 _tables: dict = {}
@@ -134,9 +130,9 @@ def _boxes(path: str):
 def _file(path: str, name: str) -> dict:
     if (path, name) not in _rows:
         fs, _ = store.file_system(path)
-        got = pq.ParquetFile(fs.open_input_file(name)).read(["tile", "fps", "heads"]).to_pydict()
-        _rows[path, name] = {t: (np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)) for t, a, b in zip(got["tile"], got["fps"], got["heads"], strict=True)}
-        while len(_rows) > 1 and sum(x.nbytes + y.nbytes for f in _rows.values() for x, y in f.values()) > KEPT_BYTES:
+        got = pq.ParquetFile(fs.open_input_file(name)).read(["tile", "fps"]).to_pydict()
+        _rows[path, name] = {t: np.frombuffer(x, np.uint64) for t, x in zip(got["tile"], got["fps"], strict=True)}
+        while len(_rows) > 1 and sum(x.nbytes for f in _rows.values() for x in f.values()) > KEPT_BYTES:
             _rows.popitem(last=False)
     _rows.move_to_end((path, name))
     return _rows[path, name]
@@ -182,40 +178,42 @@ def _compare(batches, path: str, radius: int):
             mine = int(np.flatnonzero(tiles == tile)[0])
             gap = np.maximum(0, np.maximum(low - high[mine], low[mine] - high)).sum(1)
             others = np.flatnonzero((gap <= radius) & (tiles >= tile))
-            a, heads = _file(path, files[number[mine]])[tile]
+            a = _file(path, files[number[mine]])[tile]
             for other in others[np.lexsort((tiles[others], number[others]))]:
-                b, theirs = _file(path, files[number[other]])[int(tiles[other])]
+                b = _file(path, files[number[other]])[int(tiles[other])]
                 forest = Forest(a.size + b.size)
                 for i, j in _links(a, b, radius):
                     forest.add(i, j + a.size)
                 if forest.used:
-                    both = np.concatenate([heads, theirs])
+                    both = np.concatenate([a, b]).view(np.int64)
                     out = [both[np.concatenate([x[k] for x in forest.used])] for k in (0, 1)]
                     apart = out[0] != out[1]
                     yield pa.RecordBatch.from_arrays([pa.array(x[apart]) for x in out], ["a", "b"])
 
 
 def near_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) of rows (doc_id, fp)."""
+    """(doc_id, fp, component_id) of rows (doc_id, fp).
+
+    The nodes of the graph are the distinct fingerprints, so what links them does not depend on
+    ids; a component takes its name from the smallest id of its rows in a last aggregation.
+    """
     spark = prints.sparkSession
     prints = store.materialise(prints, "prints")
-    groups = store.materialise(prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(tx.NO_ID)).alias("head")), "groups")
+    groups = store.materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "groups")
     count = groups.count()
-    # A null id is a node of its own; it comes back as null at the end.
     quarters = [F.bit_count(F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF))) for i in range(4)]
     cell = quarters[0]
     for q in quarters[1:]:
         cell = cell * 17 + q
     parts = max(1, math.ceil(count / (8 * TILE)))
-    ordered = groups.withColumn("cell", cell).repartitionByRange(parts, "cell", "fp").sortWithinPartitions("cell", "fp").select("fp", "head")
+    ordered = groups.withColumn("cell", cell).repartitionByRange(parts, "cell", "fp").sortWithinPartitions("cell", "fp").select("fp")
     path = store.write_shared(mapped(ordered, _tiles, TILE_SCHEMA, TILE), "tiles")
     tiles = spark.read.parquet(path).select("tile")
     spread = max(1, min(tiles.count(), max(3 * spark.sparkContext.defaultParallelism, count // (32 * TILE))))
     edges = mapped(tiles.repartition(spread), _compare, "a long, b long", path, radius)
-    found = components(edges)
-    roots = groups.join(found, groups["head"] == found["node"], "left").select(F.col("fp").alias("own"), F.coalesce("root", "head").alias("component_id"))
-    out = prints.join(roots, prints["fp"] == roots["own"])
-    return out.select("doc_id", "fp", F.when(F.col("component_id") != tx.NO_ID, F.col("component_id")).alias("component_id"))
+    named = named_components(groups.select(F.col("fp").alias("node"), "least_id"), edges).select(F.col("node").alias("own"), "component_id")
+    out = prints.join(named, prints["fp"] == named["own"])
+    return out.select("doc_id", "fp", "component_id")
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

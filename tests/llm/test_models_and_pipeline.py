@@ -74,6 +74,38 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     assert got == {d: want[int(np.int64(f).astype(np.uint64))] for d, f in rows}
 
 
+def test_null_ids_neither_join_nor_name(spark):
+    """Near fingerprints of rows without an id join nothing else and name no component."""
+    far = 0x0F0F0F0F0F0F0F0F
+    rows = [(5, 0), (None, 1), (None, far), (9, far ^ 1), (None, -1), (None, -2)]
+    got = simhash.near_components(spark.createDataFrame(rows, "doc_id bigint, fp bigint")).collect()
+    assert {(r["doc_id"], r["fp"], r["component_id"]) for r in got} == {(5, 0, 5), (None, 1, 5), (None, far, 9), (9, far ^ 1, 9), (None, -1, None), (None, -2, None)}
+
+
+def test_random_fingerprints_with_null_ids_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 64)
+    random = np.random.default_rng(12)
+    heart = random.integers(0, 1 << 63, 60).astype(np.uint64)
+    prints = [int(heart[random.integers(60)] ^ np.bitwise_or.reduce(np.uint64(1) << random.integers(0, 64, int(random.integers(0, 4))).astype(np.uint64), initial=np.uint64(0))) for _ in range(500)]
+    rows = [(None if random.random() < 0.2 else int(random.integers(0, 400)), fp) for fp in prints]
+    rows += rows[:50]
+    signed = [(d, int(np.uint64(f).astype(np.int64))) for d, f in rows]
+    got = simhash.near_components(spark.createDataFrame(signed, "doc_id bigint, fp bigint")).collect()
+    want = components_by_hand(rows)
+    unsigned = lambda x: x & (1 << 64) - 1
+    assert Counter((r["doc_id"], unsigned(r["fp"]), r["component_id"]) for r in got) == Counter((d, f, want[f]) for d, f in rows)
+
+
+def test_near_dedup_leaves_one_row_of_each_component(spark):
+    a, b = " ".join(prose(1).split()), " ".join(prose(2).split())
+    near = a.split(" ")
+    near[60] = "other"
+    rows = [(4, a), (4, a), (4, a), (7, " ".join(near)), (None, a), (None, b), (None, b), (8, prose(3)), (4, prose(4))]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], DOCS)
+    got = [(r["doc_id"], r["text"]) for r in stages.simhash_near_dedup(spark, docs, "").collect()]
+    assert Counter(got) == Counter([(4, a), (None, b), (8, prose(3)), (4, prose(4))])
+
+
 def test_forest_is_small_and_complete():
     a = np.zeros(50, np.uint64)
     forest = simhash.Forest(100)
@@ -108,6 +140,45 @@ def test_boundaries_are_optimal():
         assert got[-1] == size - 1 and len(got) <= buckets and padded(got) == best
 
 
+def test_layers_are_those_of_all_pairs():
+    """With many lengths, long ones too: each step's best against all pairs."""
+    random = np.random.default_rng(4)
+    for size in (1, 2, 3, 50, 700):
+        longest = np.sort(random.choice(16_000, size, replace=False)).astype(np.float64) + 1
+        total = np.concatenate([[0], np.cumsum(random.integers(1, 50, size))]).astype(np.float64)
+        least = total[1:] * longest
+        for _ in range(3):
+            best, where = packing._layer(least, total, longest)
+            for j in range(1, size):
+                cost = least[:j] + longest[j] * (total[j + 1] - total[1 : j + 1])
+                assert best[j] == cost.min() == cost[where[j]]
+            least = np.minimum(least, best)
+
+
+def test_long_documents_are_batches_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    lengths = [*range(500, 620), 5000, 16_384, 16_385, 40_000, 40_000]
+    rows = [(None, n) for n in lengths]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, n bigint").withColumn("text", F.lit("")), F.col("n")).collect()
+    assert sorted(r["n_tokens"] for r in got) == sorted(lengths)
+    batches = defaultdict(list)
+    for r in got:
+        batches[r["batch_id"]].append(r)
+    for own in batches.values():
+        assert len({r["padded_tokens"] for r in own}) == 1 and all(r["n_tokens"] <= r["padded_tokens"] for r in own)
+        assert len(own) * own[0]["padded_tokens"] <= packing.BUDGET or len(own) == 1 and own[0]["n_tokens"] == own[0]["padded_tokens"]
+
+
+def test_rows_without_ids_meet_in_no_one_cell(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "CELL_ROWS", 50)
+    got = packing.pack(spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(100).alias("n"), F.lit("").alias("text")), F.col("n")).collect()
+    cells = Counter(r["batch_id"].rsplit("-", 1)[0] for r in got)
+    assert len(cells) == 40 and max(cells.values()) < 100
+
+
 def test_packing_holds_every_row_once(spark, odd, clashing, none):
     for docs in (odd, clashing):
         rows = packing.pack(docs, budget=600).collect()
