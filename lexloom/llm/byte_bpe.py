@@ -184,6 +184,14 @@ class Memo:
                 self.new[text] = found
         return found
 
+    def all(self, texts: list[str]) -> list:
+        found = list(map(self.new.get, texts))
+        if None in found:
+            for i, x in enumerate(found):
+                if x is None:
+                    found[i] = self(texts[i])
+        return found
+
 
 class Encoder:
     """Encodes texts with memoised chunks: ids as little-endian 32-bit bytes."""
@@ -191,7 +199,8 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.piece = Memo(self._piece, MEMO // 2)
-        self.chunk = Memo(self._whole, MEMO // 2)
+        #: By what follows the chunk's space.
+        self.chunk = Memo(lambda x: self._whole(" " + x), MEMO // 2)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.vocabulary.encode_piece(piece.encode("utf-8"))
@@ -204,11 +213,7 @@ class Encoder:
         parts = chunks(text)
         if parts is None:
             return self._whole(text)
-        out = [self.chunk(parts[0])]
-        for part in parts[1:]:
-            key = " " + part
-            out.append(self.chunk.new.get(key) or self.chunk(key))
-        return b"".join(out)
+        return self._whole(parts[0]) + b"".join(self.chunk.all(parts[1:]))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -28,6 +28,8 @@ _LAST = operator.itemgetter(-1)
 _WHITE = regex.compile(r"\s").match
 #: With a space after white space, prefixes end otherwise than chunks do.
 _RUNS = regex.compile(r"\s ")
+#: The contractions of the pattern.
+_CONTRACTIONS = frozenset(["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"])
 
 
 class PrefixCounts:
@@ -55,8 +57,8 @@ class PrefixCounts:
         i = int(np.searchsorted(self.tokens, budget, "right")) - 1
         if i == len(self.parts):
             return int(self.chars[-1])
-        left = budget - int(self.tokens[i])
-        return int(self.chars[i]) + max(n for n, count in enumerate(self.parts[i]) if count <= left)
+        left, part = budget - int(self.tokens[i]), self.parts[i]
+        return int(self.chars[i]) + next(n for n in range(len(part) - 1, -1, -1) if part[n] <= left)
 
 
 class Counter:
@@ -65,9 +67,11 @@ class Counter:
     def __init__(self, vocabulary: byte_bpe.Vocabulary):
         self.vocabulary = vocabulary
         self.piece = byte_bpe.Memo(self._piece, byte_bpe.MEMO // 2)
-        self.chunk = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 2)
+        #: By what follows the chunk's space.
+        self.chunk = byte_bpe.Memo(lambda x: self._whole(" " + x), byte_bpe.MEMO // 2)
+        self.first = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 16)
         self.piece_total = byte_bpe.Memo(self._piece_total, byte_bpe.MEMO // 2)
-        self.chunk_total = byte_bpe.Memo(self._chunk_total, byte_bpe.MEMO // 2)
+        self.chunk_total = byte_bpe.Memo(lambda x: self._chunk_total(" " + x), byte_bpe.MEMO)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")") if vocabulary.specials else None
 
     def _piece(self, piece: str) -> list[int]:
@@ -81,17 +85,20 @@ class Counter:
     def _whole(self, chunk: str) -> list[int]:
         """Counts of the chunk's prefixes, each as if the text ended there.
 
-        A prefix may split otherwise than the chunk does: where a run of white space or a
-        contraction is cut, its last two pieces are split anew.
+        A prefix splits as the chunk does, but in two places.  A run of white space before
+        another character leaves its last character to the next piece; the prefix that ends
+        there keeps the run in one.  And a contraction that is cut is a quote and letters.
+        So besides each piece one prefix of it is counted anew at most, or two short ones.
         """
         counts, held, before, last = [0], 0, 0, ""
         for piece in self.vocabulary.pieces(chunk):
             own, c = self.piece(piece), piece[0]
-            if c == "'" or last and (c <= " " or c > "~") and _WHITE(c) and _WHITE(last[-1]):
-                cut = piece if c != "'" and _WHITE(piece[-1]) else piece[:-1]
-                for n in range(1, len(cut) + 1):
-                    counts.append(before + sum(self.piece(x)[-1] for x in self.vocabulary.pieces(last + piece[:n])))
-                counts += [held + own[-1]] * (len(piece) - len(cut))
+            if c == "'" and piece in _CONTRACTIONS:
+                counts += [held + sum(self.piece(x)[-1] for x in self.vocabulary.pieces(piece[:n])) for n in range(1, len(piece))]
+                counts.append(held + own[-1])
+            elif last and (c <= " " or c > "~") and _WHITE(c) and _WHITE(last[-1]):
+                counts.append(before + self.piece(last + c)[-1])
+                counts += [held + x for x in own[2:]]
             elif held:
                 counts += [held + x for x in own[1:]]
             else:
@@ -101,22 +108,26 @@ class Counter:
 
     def prefixes(self, text: str) -> PrefixCounts:
         out: list[list[int]] = []
+        before = ""
         for i, part in enumerate(self.specials.split(text) if self.specials else [text]):
             if i % 2:
-                out.append(self._special(part))
+                out.append(self._special(part, before))
             elif _RUNS.search(part):
                 out.append(self._whole(part))
             elif part:
-                parts = part.split(" ")
-                if parts[0]:
-                    out.append(self.chunk(parts[0]))
-                for chunk in parts[1:]:
-                    key = " " + chunk
-                    out.append(self.chunk.new.get(key) or self.chunk(key))
+                first, *others = part.split(" ")
+                if first:
+                    out.append(self.first(first))
+                out += self.chunk.all(others)
+            before = "" if i % 2 else part
         return PrefixCounts(out)
 
-    def _special(self, content: str) -> list[int]:
-        return [*self._whole(content)[:-1], 1]
+    def _special(self, content: str, before: str) -> list[int]:
+        """One token if whole; cut, it is text that may join the piece before it."""
+        tail = (self.vocabulary.pieces(before) or [""])[-1]
+        count = lambda text: sum(self.piece(x)[-1] for x in self.vocabulary.pieces(text))
+        held = count(tail)
+        return [0, *[count(tail + content[:n]) - held for n in range(1, len(content))], 1]
 
     def _piece_total(self, piece: str) -> int:
         return len(self.vocabulary.encode_piece(piece.encode("utf-8")))
@@ -134,10 +145,7 @@ class Counter:
                 number += self._chunk_total(part)
             elif part:
                 first, *others = part.split(" ")
-                number += self.chunk_total(first) if first else 0
-                for chunk in others:
-                    key = " " + chunk
-                    number += self.chunk_total.new.get(key) or self.chunk_total(key)
+                number += self._chunk_total(first) + sum(self.chunk_total.all(others))
         return number
 
 

@@ -46,6 +46,28 @@ def test_ids_equal_the_library(library):
         assert encoder.decode(ids) == text.encode()
 
 
+LONG = ["x" + " " * 4000 + "y" * 4000, "  " + "z" * 3000, "\n " + "ภาษาไทย" * 400, "日本語" * 900 + "\t\t \u2003" + "語" * 900, "'" * 2000 + "s", "it's we'll '' 's" * 100, "\n \n" * 700 + "a", "a<|endoftext|>!!<|endoftext|>  <|endoftext|> b"]
+
+
+@pytest.mark.parametrize("number", range(len(LONG)))
+def test_prefixes_of_runs_equal_the_library(tokenizer, number):
+    text = LONG[number]
+    found = token_counts._counter(public.path("byte_bpe_50k.json"), public.PATTERN).prefixes(text)
+    choose = random.Random(6)
+    for n in sorted({0, 1, len(text), *range(min(60, len(text))), *(choose.randint(0, len(text)) for _ in range(200))}):
+        assert found.at(n) == len(tokenizer.encode(text[:n], add_special_tokens=False).ids), n
+
+
+def test_megabytes_of_runs_take_seconds():
+    import time
+
+    counter = token_counts._counter(public.path("byte_bpe_50k.json"), public.PATTERN)
+    for text in (" " * 1_000_000 + "e" * 1_000_000, "ก" * 700_000, "漢字" * 350_000):
+        began = time.time()
+        assert counter.prefixes(text).total == counter.total(text)
+        assert time.time() - began < 20
+
+
 def test_backtracking_equals_the_merges():
     vocabulary = byte_bpe.rank_file(public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
     choose = random.Random(2)
