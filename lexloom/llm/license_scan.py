@@ -2,25 +2,35 @@
 
 Each document gives the rolling hashes of its two- and three-word windows; Spark joins them to
 the windows of the templates, a table of fixed size that is broadcast.  A hit at word p of the
-document and word q of a template votes for the diagonal p - q.  Votes are aggregated by diagonal,
-neighbouring diagonals of a template (words put in or left out) are merged, and a merged span
-counts if the template words under its hits cover enough of the template in their order; a phrase
-of the base set must be covered in full on one diagonal.  A document's words never leave the task
-that read them: only hits move, and each document sends one more row with its word count.
-
-Defined results: null and empty texts have no words and no labels; rows that repeat an id are
-scanned each on its own, as are rows without one; an empty table gives an empty table; further
-columns are not read.
+document and word q of a template votes for the diagonal p - q.  Votes are aggregated by diagonal
+into a bit for each q, so a diagonal is a row or a few of fixed size however often it is hit.  The
+rows of a document then stream past in order of template and diagonal: neighbouring diagonals of a
+template (words put in or left out) are merged into spans no wider than the template, and a span
+counts if a chain of its hits, rising in the document and in the template alike, covers enough of
+the template; a phrase of the base set must be covered in full on one diagonal.  A document's words
+never leave the task that read them: only hits move, and each document sends one more row with its
+word count.  All work after the join is linear in the hits.
+
+Documents are told apart by id and a 128-bit hash of the text, which a repeated task gives again;
+equal rows are voted for once and come out as often as they went in.
+
+Defined results: null and empty texts have no words and no labels; very long texts are scanned
+whole; rows that repeat an id are scanned each on its own, as are rows without one; ids are cast to
+long; an empty table gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import operator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexloom.llm import store
+from lexloom.llm import store, text as tx
 from lexloom.llm.index import mapped, mixed
 
 #: The base phrases and their labels.
@@ -43,6 +53,8 @@ TEMPLATES = [
     ("This Source Code Form is subject to the terms of the Mozilla Public License", "mpl"),
 ]
 COVER, SLACK, WINDOWS = 0.8, 4, (2, 3)
+#: Template words in the mask of one row.
+_BITS = 62
 
 #: ASCII but for digits and small letters separates words; every byte of other characters is in one.
 _GAPS = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -85,11 +97,10 @@ def _windows(count: int) -> int:
 
 
 def _emit(batches):
-    from pyspark import TaskContext
-
-    row = TaskContext.get().partitionId() << 33
     for batch in store.blocks(batches, "text", 4 << 20):
-        words = [words_of(x or "") for x in batch.column("text").to_pylist()]
+        texts = [x or "" for x in batch.column("text").to_pylist()]
+        words = [words_of(x) for x in texts]
+        low, high = tx.key_arrays([tx.digest(x.encode("utf-8", "surrogatepass")) for x in texts])
         sizes, parts = [], []
         for own in words:
             hashed = word_hashes(own)
@@ -98,9 +109,7 @@ def _emit(batches):
             sizes.append(sum(x.size for x in rolled) + 1)
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         grams = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
-        rows = pa.array(np.arange(row, row + len(words)), pa.int64())
-        row += len(words)
-        yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id"), pa.array([len(x) for x in words], pa.int64()), grams], ["row", "doc_id", "n_words", "grams"])
+        yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), batch.column("doc_id"), pa.array([len(x) for x in words], pa.int64()), grams], ["lo", "hi", "doc_id", "n_words", "grams"])
 
 
 def template_rows(known: list[tuple[list[bytes], str, bool]]) -> list[tuple[int, int, int]]:
@@ -111,51 +120,126 @@ def template_rows(known: list[tuple[list[bytes], str, bool]]) -> list[tuple[int,
     return rows
 
 
-def merged_spans(hits: list[tuple[int, list[int]]], size: int, window: int, slack: int) -> list[tuple[int, int, float]]:
-    """(first word, diagonals, cover) of the spans of one template, from its diagonals' hits.
-
-    Diagonals join where they are near and their document words do not lie a template apart.
-    """
-    spans: list[dict] = []
-    for diagonal, places in sorted(hits):
-        for span in spans:
-            if diagonal - span["last"] <= slack and diagonal + min(places) - span["end"] <= size:
-                break
-        else:
-            span = {"start": diagonal + min(places), "end": 0, "n": 0, "covered": set()}
-            spans.append(span)
-        span["last"], span["n"] = diagonal, span["n"] + 1
-        span["start"] = min(span["start"], diagonal + min(places))
-        span["end"] = max(span["end"], diagonal + max(places) + window)
-        span["covered"].update(q + i for q in places for i in range(window))
-    return [(s["start"], s["n"], len(s["covered"]) / size) for s in spans]
+def chained(hits: list[tuple[int, int]], size: int, window: int) -> int:
+    """Template words under the best chain of hits (diagonal, q): both p and q rise along it."""
+    best = np.zeros(size + 1, np.int64)  # of chains whose last hit is at q, under q + 1
+    back = np.minimum(window, np.arange(size, -1, -1))  # what a hit at q adds to a chain ending at q - size + k
+    for _, group in itertools.groupby(sorted((d + q, q) for d, q in hits), operator.itemgetter(0)):
+        found = []
+        for _, q in group:
+            held = best[1 : q + 1]
+            reached = held > 0
+            found.append((q, max(window, int((held + back[size - q : size])[reached].max()) if reached.any() else 0)))
+        for q, covered in found:
+            best[q + 1] = max(best[q + 1], covered)
+    return int(best.max())
+
+
+class Spans:
+    """The best cover of one template by merged spans of its diagonals, which arrive in order."""
+
+    def __init__(self, size: int, slack: int):
+        self.size, self.window, self.slack = size, _windows(size), slack
+        self.best, self.open = 0, []
+
+    def _covered(self, mask: int) -> int:
+        out = 0
+        for i in range(self.window):
+            out |= mask << i
+        return out.bit_count()
+
+    def add(self, diagonal: int, mask: int) -> None:
+        """``mask`` has a bit for each q that the diagonal hits."""
+        if self.best == self.size:
+            return
+        if self.open and (diagonal - self.open[-1][0] > self.slack or diagonal - self.open[0][0] > self.size):
+            self.close(diagonal)
+        self.open.append((diagonal, mask))
+
+    def close(self, at: int | None = None) -> None:
+        """Verify the open span; of one that goes on at ``at``, its later half stays open."""
+        union = functools.reduce(operator.or_, (m for _, m in self.open), 0)
+        most = self._covered(union)
+        if most > self.best:
+            if len(self.open) > 1:
+                most = chained([(d, q) for d, m in self.open for q in range(m.bit_length()) if m >> q & 1], self.size, self.window)
+            self.best = max(self.best, most)
+        going_on = at is not None and at - self.open[-1][0] <= self.slack
+        self.open = [x for x in self.open if at - x[0] <= self.size // 2] if going_on else []
+
+    @property
+    def cover(self) -> float:
+        if self.open:
+            self.close()
+        return self.best / self.size
+
+
+class _Found:
+    """What the rows of one document give."""
+
+    def __init__(self, known, slack: int):
+        self.known, self.slack = known, slack
+        self.n_base, self.first, self.last = 0, None, None
+        self.base: set[str] = set()
+        self.spans: dict[int, Spans] = {}
+
+    def add(self, number: int, diagonal: int, mask: int) -> None:
+        words, label, is_base = self.known[number]
+        if not is_base:
+            if number not in self.spans:
+                self.spans[number] = Spans(len(words), self.slack)
+            self.spans[number].add(diagonal, mask)
+        elif mask.bit_count() == len(words) - _windows(len(words)) + 1:
+            self.n_base += 1
+            self.first = diagonal if self.first is None else min(self.first, diagonal)
+            self.last = diagonal if self.last is None else max(self.last, diagonal)
+            self.base.add(label)
+
+    def row(self, cover: float) -> tuple:
+        covers = {number: x.cover for number, x in self.spans.items()}
+        own = {self.known[number][1] for number, x in covers.items() if x >= cover}
+        return (self.n_base, self.first, self.last, ",".join(sorted(self.base)), ",".join(sorted(self.base | own)), max([float(bool(self.base)), *covers.values()]))
+
+
+_KEY = ["lo", "hi", "doc_id"]
+_KINDS = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64()}
 
 
 def _verify(batches, known, cover: float, slack: int):
-    sizes = [len(words) for words, _, _ in known]
-    for batch in batches:
-        rows = []
-        for hits in batch.column("hits").to_pylist():
-            by: dict[int, list] = {}
-            for hit in hits:
-                if hit["template"] >= 0:
-                    by.setdefault(hit["template"], []).append((hit["diagonal"], hit["places"]))
-            starts, base, labels, score = [], set(), set(), 0.0
-            for number, found in by.items():
-                size, window, (_, label, is_base) = sizes[number], _windows(sizes[number]), known[number]
-                if is_base:
-                    exact = [diagonal for diagonal, places in found if len(set(places)) == size - window + 1]
-                    starts += exact
-                    base |= {label} if exact else set()
-                    score = 1.0 if exact else score
-                else:
-                    best = max(c for _, _, c in merged_spans(found, size, window, slack))
-                    score = max(score, best)
-                    labels |= {label} if best >= cover else set()
-            rows.append((len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64()]
-        names = ["n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], ["doc_id", "n_words", *names])
+    """Votes in order of document, template, diagonal and part in; documents out.
+
+    A document's first row is its mark, under template -1: its word count and copies.
+    """
+    rows, document, diagonal = [], None, None
+
+    def flush():
+        if diagonal:
+            document[3].add(*diagonal)
+
+    def done():
+        flush()
+        if document is not None:
+            rows.extend([(document[1][2], document[2], *document[3].row(cover))] * document[0])
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_KINDS.values())], list(_KINDS))
+
+    for got in batches:
+        for *key, n_words, number, at, part, mask, copies in zip(*[x.to_pylist() for x in got.columns], strict=True):
+            if number < 0:
+                done()
+                document, diagonal = (copies, key, n_words, _Found(known, slack)), None
+                if len(rows) >= 4096:
+                    yield batch()
+                    rows = []
+            elif diagonal and diagonal[:2] == (number, at):
+                diagonal = (number, at, diagonal[2] | mask << _BITS * part)
+            else:
+                flush()
+                diagonal = (number, at, mask << _BITS * part)
+    done()
+    if rows:
+        yield batch()
 
 
 RESULT = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
@@ -165,15 +249,18 @@ def scan(docs: DataFrame, own: list[tuple[str, str]] | None = None, cover: float
     """The license labels and base places of every row of ``docs``."""
     known = templates(TEMPLATES if own is None else own)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    grams = mapped(texts, _emit, "row long, doc_id long, n_words long, grams array<bigint>")
-    places = grams.select("row", "doc_id", "n_words", F.posexplode("grams").alias("at", "gram"))
+    grams = mapped(texts, _emit, "lo long, hi long, doc_id long, n_words long, grams array<bigint>")
+    places = grams.select(*_KEY, "n_words", F.posexplode("grams").alias("at", "gram"))
     table = docs.sparkSession.createDataFrame(template_rows(known), "gram long, template int, word int")
     twos = F.greatest(F.col("n_words") - 1, F.lit(0))
     place = F.when(F.col("at") < twos, F.col("at")).otherwise(F.col("at") - twos)
-    hits = places.join(F.broadcast(table), "gram").select("row", "doc_id", "n_words", "template", F.when(F.col("template") >= 0, place - F.col("word")).otherwise(0).alias("diagonal"), "word")
-    votes = hits.groupBy("row", "doc_id", "n_words", "template", "diagonal").agg(F.collect_list("word").alias("places"))
-    rows = votes.groupBy("row", "doc_id", "n_words").agg(F.collect_list(F.struct("template", "diagonal", "places")).alias("hits"))
-    return mapped(rows.select("doc_id", "n_words", "hits"), _verify, RESULT, known, cover, slack)
+    hits = places.join(F.broadcast(table), "gram").select(
+        *_KEY, "n_words", "template", F.when(F.col("template") >= 0, place - F.col("word")).otherwise(0).alias("diagonal"),
+        F.floor(F.col("word") / _BITS).cast("int").alias("part"), F.expr(f"shiftleft(1L, word % {_BITS})").alias("bit"))
+    votes = hits.groupBy(*_KEY, "n_words", "template", "diagonal", "part").agg(F.bit_or("bit").alias("mask"), F.count(F.lit(1)).alias("copies"))
+    order = [*_KEY, "template", "diagonal", "part"]
+    rows = votes.repartition("lo", "hi").sortWithinPartitions(*order)
+    return mapped(rows, _verify, RESULT, known, cover, slack)
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
