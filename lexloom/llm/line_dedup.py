@@ -4,11 +4,12 @@ One pass hashes the keys of every line and counts, by partial aggregation, the d
 hold each.  Keys of enough documents go into a sharded minimal perfect hash (``index.py``) whose
 arrays hold a fingerprint, the count and the largest holder; leaving out keys of fewer documents
 changes nothing, as the fingerprint of a key that is absent does not match.  A second pass over
-the documents probes those arrays.  No line is shuffled twice and no document at all, so neither
-a hot line nor a hot source meets in one task.
+the documents probes those arrays, each shard once a task.  No line is shuffled twice and no
+document at all, so neither a hot line nor a hot source meets in one task.
 
-Defined results: a null or empty text is one empty line; each row counts as one document, also
-when its id is repeated; rows with a null id come below all ids; an empty table gives an empty
+Defined results: a null or empty text is one empty line; texts of any length are split whole; each
+row counts as one document, also when its id is repeated, and all rows of the largest id keep the
+line; rows with a null id come below all ids; ids are cast to long; an empty table gives an empty
 table; columns named like the added ones are replaced, all others pass through.
 """
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lexloom.llm import store, text as tx
-from lexloom.llm.index import LineIndex, mapped
+from lexloom.llm.index import LineIndex, mapped, probed
 
 MIN_CHARS, MIN_DOCS = 20, 3
 ADDED = ("n_lines", "n_dropped")
@@ -48,27 +49,39 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return LineIndex.build(line_counts(docs, id_col, text_col, min_chars).where(F.col("n") >= min_docs), "lines")
 
 
+def _look(batch, text_col: str, min_chars: int):
+    """The batch, (lines and eligible lines of each text, places of the latter), digests of the latter."""
+    digests, totals, sizes, places = [], [], [], []
+    for text in batch.column(text_col).to_pylist():
+        own = (text or "").split("\n")
+        at = [i for i, line in enumerate(own) if len(line) >= min_chars and len(line.strip(tx.WHITE)) >= min_chars]
+        digests += [tx.digest(tx.line_key(own[i])) for i in at]
+        totals.append(len(own))
+        sizes.append(len(at))
+        places += at
+    return batch, (np.array(totals, np.int64), np.array(sizes, np.int64), np.array(places, np.int64)), digests
+
+
+def _judge(batch, remembered, counts, holders, id_col: str, text_col: str):
+    totals, sizes, places = remembered
+    ids = batch.column(id_col).fill_null(tx.NO_ID).to_numpy()
+    gone = (counts > 0) & (holders != np.repeat(ids, sizes))
+    row = np.repeat(np.arange(sizes.size), sizes)
+    dropped = np.bincount(row[gone], minlength=sizes.size)
+    texts = batch.column(text_col)
+    if dropped.any():
+        texts, starts = texts.to_pylist(), np.concatenate([[0], np.cumsum(sizes)])
+        for i in np.flatnonzero(dropped).tolist():
+            held = slice(starts[i], starts[i + 1])
+            out = set(places[held][gone[held]].tolist())
+            texts[i] = "\n".join(line for j, line in enumerate(texts[i].split("\n")) if j not in out)
+        texts = pa.array(texts, pa.string())
+    columns = [texts if name == text_col else batch.column(name) for name in batch.schema.names]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(totals), pa.array(dropped.astype(np.int64))], [*batch.schema.names, *ADDED])
+
+
 def _probe(batches, index: LineIndex, id_col: str, text_col: str, min_chars: int):
-    for batch in store.blocks(batches, text_col):
-        lines, digests, sizes = [], [], []
-        for text in batch.column(text_col).to_pylist():
-            own = (text or "").split("\n")
-            lines.append(own)
-            at = [(i, tx.digest(key.encode("utf-8", "surrogatepass").lower())) for i, line in enumerate(own) if len(key := line.strip(tx.WHITE)) >= min_chars]
-            sizes.append([i for i, _ in at])
-            digests += [d for _, d in at]
-        counts, holders = index.find(*tx.key_arrays(digests))
-        texts, dropped, start = [], [], 0
-        for doc_id, text, own, at in zip(batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist(), lines, sizes, strict=True):
-            held = slice(start, start := start + len(at))
-            gone = (counts[held] > 0) & (holders[held] != (tx.NO_ID if doc_id is None else doc_id))
-            if gone.any():
-                out = {at[i] for i in np.flatnonzero(gone)}
-                text = "\n".join(line for i, line in enumerate(own) if i not in out)
-            texts.append(text)
-            dropped.append(int(gone.sum()))
-        columns = [pa.array(texts, pa.string()) if name == text_col else batch.column(name) for name in batch.schema.names]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array([len(x) for x in lines], pa.int64()), pa.array(dropped, pa.int64())], [*batch.schema.names, *ADDED])
+    return probed(batches, index, text_col, lambda b: _look(b, text_col, min_chars), lambda *x: _judge(*x, id_col, text_col))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.llm import exact_dedup, index, license_scan, line_dedup, quality_rules, text as tx
+from lexloom.llm import exact_dedup, index, license_scan, line_dedup, quality_rules, store, text as tx
 from tests.compare import connect, same
 
 SF = "/root/testdata/sf0.01"
@@ -122,18 +122,18 @@ def base_by_hand(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(marked)
 
 
-def rules_by_hand(rows, share, min_docs, depleted):
+def rules_by_hand(rows, share, min_docs, depleted, most_docs=quality_rules.MOST_DOCS):
     norm = lambda x: " ".join(re.findall("[^\x20\x09-\x0d]+", x)).translate(LOWER)
-    documents, held = defaultdict(set), defaultdict(set)
+    documents, held = Counter(), defaultdict(list)
     for _, host, text in rows:
-        documents[host].add(text or "")
-        for line in (text or "").split("\n"):
-            held[host, norm(line)].add(text or "")
+        documents[host] += 1
+        for line in {norm(x) for x in (text or "").split("\n")}:
+            held[host, line].append(text or "")
     out = Counter()
     for doc_id, host, text in rows:
         base = base_by_hand(text)
-        limit = max(min_docs, share * len(documents[host]))
-        gone = [x for x in (text or "").split("\n") if norm(x) and len(held[host, norm(x)]) > limit]
+        limit = min(max(min_docs, share * documents[host]), most_docs)
+        gone = [x for x in (text or "").split("\n") if norm(x) and len(held[host, norm(x)]) > limit and len(set(held[host, norm(x)])) > 1]
         lost = sum(len(norm(x).split(" ")) for x in gone)
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
         out[doc_id, *base, failed, len(gone), lost, not failed and lost <= depleted * base[0]] += 1
@@ -188,6 +188,114 @@ def test_changed_license_texts_are_found(spark):
     assert got[3]["labels"] == ""
 
 
-def test_neighbouring_diagonals_merge():
-    assert license_scan.merged_spans([(10, [0, 1, 2]), (12, [5, 6])], 10, 3, 4) == [(10, 2, 0.9)]
-    assert len(license_scan.merged_spans([(10, [0, 1, 2]), (60, [5, 6])], 10, 3, 4)) == 2
+def test_copies_are_no_boilerplate_and_large_hosts_have_a_limit(spark):
+    from tests.llm.conftest import prose
+
+    menu = "a menu line that stands under many pages here"
+    rows = [(i, "h", prose(7)) for i in range(60)] + [(100 + i, "h", prose(100 + i) + ("\n" + menu) * (i < 12)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for settings, removed in (({"most_docs": 10, "min_docs": 5}, 12), ({"most_docs": 12, "min_docs": 5, "share": 1.0}, 0)):
+        got = quality_rules.judged(docs, **settings).collect()
+        assert all(r["kept"] for r in got)
+        assert sum(r["removed_lines"] for r in got) == removed
+        assert all(r["removed_lines"] == 0 for r in got if r["doc_id"] < 100)
+
+
+def test_a_task_opens_each_shard_once(spark, monkeypatch, tmp_path):
+    """200 shards, 40 blocks of documents: one opening for each shard that is asked for."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(index, "SHARD_KEYS", 25)
+    texts = ["\n".join(f"line number {i + k} of the shared ones" for k in range(50)) for i in range(0, 5000, 25)]
+    docs = spark.createDataFrame([(3 * i + k, x) for i, x in enumerate(texts) for k in range(2)], "doc_id bigint, text string")
+    found = line_dedup.build_index(docs, min_docs=2)
+    assert found.shards >= 200
+    opened, real = Counter(), store.data_files
+    monkeypatch.setattr(store, "data_files", lambda uri: opened.update([uri]) or real(uri))
+    monkeypatch.setattr(index.store, "blocks", lambda batches, column: (b.slice(i, 10) for b in batches for i in range(0, b.num_rows, 10)))
+    rows = docs.collect()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r["doc_id"] for r in rows], "text": [r["text"] for r in rows]})
+    out = pa.Table.from_batches(line_dedup._probe([batch], found, "doc_id", "text", 20)).to_pydict()
+    assert len(opened) >= 200 and set(opened.values()) == {1}
+    assert sum(out["n_dropped"]) == sum(out["n_lines"]) - len({x for t in texts for x in t.split("\n")})
+    monkeypatch.setattr(index, "HELD_BYTES", 1 << 12)
+    again = pa.Table.from_batches(line_dedup._probe([batch], found, "doc_id", "text", 20)).to_pydict()
+    assert again == out and np.all(np.array(again["n_lines"]) == 50)
+
+
+def chain_by_hand(hits, size, window):
+    """The most template words under a chain of hits, by trying all of them."""
+    rows = sorted((d + q, q) for d, q in hits)
+    best = 0
+    for chosen in range(1, 1 << len(rows)):
+        own = [x for i, x in enumerate(rows) if chosen >> i & 1]
+        if all(a[0] < b[0] and a[1] < b[1] for a, b in zip(own, own[1:])):
+            best = max(best, len({q + k for _, q in own for k in range(window)}))
+    return best
+
+
+def test_chains_by_hand():
+    import random
+
+    choose = random.Random(3)
+    for _ in range(150):
+        size, window = 14, 3
+        hits = list({(choose.randint(0, 6), choose.randint(0, size - window)) for _ in range(choose.randint(1, 9))})
+        assert license_scan.chained(hits, size, window) == chain_by_hand(hits, size, window)
+
+
+def test_order_counts_in_a_span():
+    forwards, backwards = license_scan.Spans(20, 4), license_scan.Spans(20, 12)
+    for diagonal, places in ((8, range(10, 18)), (9, range(0, 3))):
+        forwards.add(diagonal, sum(1 << q for q in places))
+    assert forwards.cover == 0.75  # words 0 to 4, then words 10 to 19
+    for diagonal, places in ((0, range(10, 18)), (12, range(0, 8))):
+        backwards.add(diagonal, sum(1 << q for q in places))
+    assert backwards.cover == 0.5  # either half, but not both: the second half comes first
+
+
+def test_labels_by_hand(spark):
+    """Labels and score against a search of all places for each template's best chain."""
+    import random
+
+    choose, known = random.Random(9), license_scan.templates(license_scan.TEMPLATES)
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(choose.randint(1, 4)):
+            own = [w.decode() for w in choose.choice(known)[0]]
+            for _ in range(choose.randint(0, 4)):
+                at = choose.randrange(len(own))
+                own[at : at + choose.randint(0, 1)] = [f"word{choose.randint(0, 99)}"] * choose.randint(0, 2)
+            words += own + [f"gap{choose.randint(0, 9)}" for _ in range(choose.randint(12, 30))]
+        texts.append(" ".join(words))
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for i, text in enumerate(texts):
+        words, best, labels = license_scan.words_of(text), 0.0, set(filter(None, licenses_by_hand(text)[4].split(",")))
+        for own, label, is_base in known:
+            window = license_scan._windows(len(own))
+            hits = [(p - q, q) for q in range(len(own) - window + 1) for p in range(len(words) - window + 1) if words[p : p + window] == own[q : q + window]]
+            if is_base:
+                best = max(best, float(label in labels))
+                continue
+            runs = []
+            for d, q in sorted(hits):
+                if not runs or d - runs[-1][-1][0] > license_scan.SLACK:
+                    runs.append([])
+                runs[-1].append((d, q))
+            cover = max((license_scan.chained(run, len(own), window) / len(own) for run in runs), default=0.0)
+            best = max(best, cover)
+            labels |= {label} if cover >= license_scan.COVER else set()
+        assert (got[i]["labels"], got[i]["score"]) == (",".join(sorted(labels)), best), text
+
+
+def test_a_text_of_a_million_hits(spark):
+    import time
+
+    parts = ["permission to use copy modify or else", "the mozilla public thing", "cc by"]
+    text = " ".join(parts * 110_000)
+    began = time.time()
+    [row] = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert row["n_base"] == 110_000 and row["first_word"] == 11 and row["last_word"] == row["n_words"] - 2
+    assert time.time() - began < 40
