@@ -7,6 +7,11 @@ exclusive-or and bit counts under ``CANDIDATE_RADIUS``, and each candidate pair
 yet inside its pair of tiles is verified on the shingles of both texts.  So a dense ball of near
 copies takes about as many verifications as it has members, and only verified links leave a task.
 
+Texts move once: tasks pass on one row of each set that they see, a histogram of the sizes on a log
+scale (of a few thousand bins at most) says which sizes share a partition, and a partition is written
+as it is sorted, its tiles numbered.  A task that compares reads the fingerprints of a file of tiles
+together, and the texts of a tile, from its row groups, when a candidate needs them.
+
 At similarity 0.8 the cosine of two sets is 0.89, an expected distance of 9.7 of 64 bits with a
 deviation of 2.9; the radius lies more than two deviations above.
 
@@ -21,10 +26,12 @@ are not read, and ``one_of_each`` passes them through.
 from __future__ import annotations
 
 import math
+import os
 from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -36,8 +43,10 @@ from lexloom.llm.index import mapped
 SHINGLE, SIMILARITY, CANDIDATE_RADIUS = 5, 0.8, 16
 #: Texts of a tile, and shingles of a tile unless one text has more.
 TILE, TILE_SHINGLES = 2048, 1 << 18
-#: Tiles that a worker keeps open.
-KEPT_TILES = 3
+#: Tiles of a partition, about, and bins of sizes for each doubling.
+PART_TILES, BINS = 4, 64
+#: Bytes of fingerprints that a worker keeps open, and tiles whose texts it keeps.
+KEPT_BYTES, KEPT_TEXTS = 32 << 20, 3
 #: Bytes of a row group of written tiles.
 GROUP_BYTES = 4 << 20
 _PRINTS = {"doc_id": "long", "key": "long", "fp": "long", "n": "long", "text": "string", "text_hash": "long"}
@@ -49,99 +58,123 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def _prints(batches, shingle: int, names: list[str]):
-    for batch in store.blocks(batches, "text"):
+    """The columns asked for; with the text, only the first row of each set that the task sees."""
+    seen: set[int] = set()
+    for batch in store.blocks(batches, "text", 4 << 20):
         texts, keys, prints, sizes = batch.column("text").to_pylist(), [], [], []
         # As Spark's xxhash64 gives it: the seed for null.
         marks = [simhash.SEED if x is None else xxhash.xxh64_intdigest(x, simhash.SEED) for x in texts] if "text_hash" in names else []
-        for text in texts:
+        rows = []
+        for i, text in enumerate(texts):
             hashes = simhash.shingle_hashes(text, shingle)
             own = np.unique(hashes)
-            keys.append(xxhash.xxh64_intdigest(own.tobytes()))
+            key = xxhash.xxh64_intdigest(own.tobytes())
+            if "text" in names:
+                if key in seen:
+                    continue
+                seen.add(key)
+            rows.append(i)
+            keys.append(key)
             prints.append(simhash.majority(hashes) if "fp" in names else 0)
             sizes.append(own.size)
         signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-        columns = {"doc_id": batch.column("doc_id") if "doc_id" in names else None, "key": signed(keys), "fp": signed(prints), "n": pa.array(sizes, pa.int64()), "text": batch.column("text"), "text_hash": signed(marks)}
+        kept = batch if len(rows) == batch.num_rows else batch.take(pa.array(rows, pa.int32()))
+        columns = {"doc_id": kept.column("doc_id"), "key": signed(keys), "fp": signed(prints), "n": pa.array(sizes, pa.int64()), "text": kept.column("text"), "text_hash": signed(marks)}
         yield pa.RecordBatch.from_pydict({x: columns[x] for x in names})
 
 
-def _tiles(batches, size: int, most: int):
-    """Rows in order of n in, a row for each run of about ``size`` out."""
-    from pyspark import TaskContext
-
-    number, held, shingles = TaskContext.get().partitionId() << 32, [], 0
-
-    def tile():
-        fps, keys, ns = (np.array([r[k] for r in held], np.int64) for k in range(3))
-        cells = {"tile": number, "least": int(ns.min()), "most": int(ns.max()), "fps": fps.tobytes(), "keys": keys.tobytes(), "ns": ns.tobytes(), "texts": [r[3] for r in held]}
-        return pa.RecordBatch.from_pydict({k: [x] for k, x in cells.items()})
+TILE_SCHEMA = "tile long, fp long, key long, n long, text string"
 
-    for batch in store.blocks(batches, "text"):
-        for row in zip(*[batch.column(x).to_pylist() for x in ("fp", "key", "n", "text")], strict=True):
-            if held and (len(held) == size or shingles + row[2] > most):
-                yield tile()
-                number, held, shingles = number + 1, [], 0
-            held.append(row)
-            shingles += row[2]
-    if held:
-        yield tile()
 
+def _tiles(batches, size: int, most: int):
+    """Rows in order of n, fp and key in, the same with their tile out, one of each key."""
+    from pyspark import TaskContext
 
-TILE_SCHEMA = "tile long, least long, most long, fps binary, keys binary, ns binary, texts array<string>"
+    number, rows, shingles, last = TaskContext.get().partitionId() << 32, 0, 0, None
+    for batch in batches:
+        kept, tiles = [], []
+        for i, (key, n) in enumerate(zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), strict=True)):
+            if key == last:
+                continue
+            last = key
+            if rows == size or rows and shingles + n > most:
+                number, rows, shingles = number + 1, 0, 0
+            rows, shingles = rows + 1, shingles + n
+            kept.append(i)
+            tiles.append(number)
+        out = batch.take(pa.array(kept, pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(tiles, pa.int64()), *[out.column(x) for x in ("fp", "key", "n", "text")]], ["tile", "fp", "key", "n", "text"])
+
+
+class _File:
+    """The fingerprints of the tiles of a written file; their texts are read once a candidate needs them."""
+
+    def __init__(self, fs, name: str):
+        self.fs, self.name = fs, name
+        with fs.open_input_file(name) as file:
+            got = pq.ParquetFile(file).read(["tile", "fp", "key", "n"])
+        self.tiles, self.fps, self.keys, self.ns = (got.column(x).to_numpy() for x in ("tile", "fp", "key", "n"))
+        self.fps = self.fps.view(np.uint64)
+        self.nbytes = 32 * self.fps.size
+
+    def texts(self, tile: int) -> pa.Array:
+        found = []
+        with self.fs.open_input_file(self.name) as opened:
+            file = pq.ParquetFile(opened)
+            place = file.schema_arrow.get_field_index("tile")
+            for group in range(file.num_row_groups):
+                range_ = file.metadata.row_group(group).column(place).statistics
+                if range_ is None or not range_.has_min_max or range_.min <= tile <= range_.max:
+                    got = file.read_row_group(group, ["tile", "text"])
+                    found.append(got.filter(pa.compute.equal(got.column("tile"), tile)).column("text"))
+        return pa.chunked_array([c for x in found for c in x.chunks], pa.string())
 
 
 class _Tile:
-    """A tile's arrays; its texts are read once a candidate needs them."""
-
-    def __init__(self, fs, name: str, group: int, tile: int):
-        self.at = fs, name, group, tile
-        row = self._row(["tile", "fps", "keys", "ns"])
-        self.fps, self.keys, self.ns = np.frombuffer(row["fps"].as_py(), np.uint64), np.frombuffer(row["keys"].as_py(), np.int64), np.frombuffer(row["ns"].as_py(), np.int64)
-        self.texts, self.sets = None, {}
+    """A tile's arrays, and the shingle sets of its texts as far as they were needed."""
 
-    def _row(self, columns: list[str]):
-        fs, name, group, tile = self.at
-        with fs.open_input_file(name) as file:
-            got = pq.ParquetFile(file).read_row_group(group, columns)
-        i = got.column("tile").to_pylist().index(tile)
-        return {x: got.column(x)[i] for x in columns}
+    def __init__(self, file: _File, tile: int):
+        self.file, self.tile = file, tile
+        own = slice(*np.searchsorted(file.tiles, [tile, tile + 1]))
+        self.fps, self.keys, self.ns = file.fps[own], file.keys[own], file.ns[own]
 
     def set_of(self, i: int, shingle: int) -> np.ndarray:
-        if i not in self.sets:
-            if self.texts is None:
-                self.texts = self._row(["tile", "texts"])["texts"].values
-            self.sets[i] = shingle_set(self.texts[i].as_py(), shingle)
-        return self.sets[i]
+        held = _texts.get((self.file.name, self.tile))
+        if held is None:
+            held = _texts[self.file.name, self.tile] = self.file.texts(self.tile), {}
+            while len(_texts) > KEPT_TEXTS:
+                _texts.popitem(last=False)
+        _texts.move_to_end((self.file.name, self.tile))
+        texts, sets = held
+        if i not in sets:
+            sets[i] = shingle_set(texts[i].as_py(), shingle)
+        return sets[i]
 
 
 _tables: dict = {}
-_open: OrderedDict = OrderedDict()
+_files: OrderedDict = OrderedDict()
+_texts: OrderedDict = OrderedDict()
 
 
-def _boxes(path: str):
-    """(file, row group, tile, least, most) arrays over all tiles."""
+def _boxes(path: str, boxes: str):
+    """(tile, least, most) arrays and the file of each tile, in order of tiles."""
     if path not in _tables:
-        _tables.clear()
-        _open.clear()
+        for cache in (_tables, _files, _texts):
+            cache.clear()
         fs, _ = store.file_system(path)
-        files, rows = store.data_files(path), []
-        for i, name in enumerate(files):
-            with fs.open_input_file(name) as opened:
-                file = pq.ParquetFile(opened)
-                for group in range(file.num_row_groups):
-                    got = file.read_row_group(group, ["tile", "least", "most"]).to_pydict()
-                    rows += [(i, group, *x) for x in zip(got["tile"], got["least"], got["most"], strict=True)]
-        _tables[path] = fs, files, np.array(rows, np.int64).reshape(-1, 5)
+        names = {os.path.basename(x): x for x in store.data_files(path)}
+        got = store.read_table(boxes).sort_by("tile")
+        _tables[path] = fs, [names[x] for x in got.column("file").to_pylist()], *(got.column(x).to_numpy() for x in ("tile", "least", "most"))
     return _tables[path]
 
 
-def _tile(path: str, at: int) -> _Tile:
-    fs, files, rows = _boxes(path)
-    if (path, at) not in _open:
-        _open[path, at] = _Tile(fs, files[rows[at, 0]], int(rows[at, 1]), int(rows[at, 2]))
-        while len(_open) > KEPT_TILES:
-            _open.popitem(last=False)
-    _open.move_to_end((path, at))
-    return _open[path, at]
+def _file(fs, name: str) -> _File:
+    if name not in _files:
+        _files[name] = _File(fs, name)
+        while len(_files) > 2 and sum(x.nbytes for x in _files.values()) > KEPT_BYTES:
+            _files.popitem(last=False)
+    _files.move_to_end(name)
+    return _files[name]
 
 
 def alike(own: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -179,21 +212,37 @@ def _verified(a: _Tile, b: _Tile, shingle: int, similarity: float, radius: int):
     return links
 
 
-def _compare(batches, path: str, shingle: int, similarity: float, radius: int):
+def _compare(batches, path: str, boxes: str, shingle: int, similarity: float, radius: int):
     for batch in batches:
         for tile in batch.column("tile").to_pylist():
-            _, _, rows = _boxes(path)
-            mine = int(np.flatnonzero(rows[:, 2] == tile)[0])
-            least, most = rows[:, 3], rows[:, 4]
-            others = np.flatnonzero((rows[:, 2] >= tile) & (most >= similarity * least[mine]) & (most[mine] >= similarity * least))
-            for other in others.tolist():
-                a, b = _tile(path, mine), _tile(path, other)
+            fs, files, tiles, least, most = _boxes(path, boxes)
+            mine = int(np.searchsorted(tiles, tile))
+            a = _Tile(_file(fs, files[mine]), tile)
+            for other in np.flatnonzero((tiles >= tile) & (most >= similarity * least[mine]) & (most[mine] >= similarity * least)).tolist():
+                b = a if other == mine else _Tile(_file(fs, files[other]), int(tiles[other]))
                 links = _verified(a, b, shingle, similarity, radius)
                 if links:
                     i, j = np.array(links).T
                     yield pa.RecordBatch.from_arrays([pa.array(a.keys[i]), pa.array(b.keys[j])], ["a", "b"])
-    _open.clear()
-    pa.default_memory_pool().release_unused()
+    for cache in (_files, _texts):
+        cache.clear()
+
+
+def _parts(sizes: list[tuple[int, int, int]], rows: int, shingles: int) -> tuple[list[tuple[int, int, int]], int]:
+    """(bin, first partition, partitions) of each bin of sizes (bin, texts, shingles), and partitions in all.
+
+    Small bins next to each other share a partition; a large one has several.
+    """
+    out, part, held_rows, held_shingles = [], 0, 0, 0
+    for number, texts, total in sorted(sizes):
+        needed = max(math.ceil(texts / rows), math.ceil(total / shingles))
+        if held_rows and (needed > 1 or held_rows + texts > rows or held_shingles + total > shingles):
+            part, held_rows, held_shingles = part + 1, 0, 0
+        out.append((number, part, needed))
+        held_rows, held_shingles = held_rows + texts, held_shingles + total
+        if needed > 1:
+            part, held_rows, held_shingles = part + needed, 0, 0
+    return out, part + 1
 
 
 def _components(docs: DataFrame, shingle: int, similarity: float, radius: int, id_col: str, text_col: str) -> DataFrame:
@@ -201,16 +250,23 @@ def _components(docs: DataFrame, shingle: int, similarity: float, radius: int, i
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = lambda *names: mapped(texts, _prints, ", ".join(f"{x} {_PRINTS[x]}" for x in names), shingle, list(names))
-    groups = prints("key", "fp", "n", "text").groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.any_value("text").alias("text"))
-    rows = store.materialise(prints("doc_id", "key", "text_hash"), "near-keys")
+    rows = store.materialise(prints("doc_id", "key", "n", "text_hash"), "near-keys")
     own = rows.groupBy(F.col("key").alias("node")).agg(F.min("doc_id").alias("least_id"))
-    parts = max(1, math.ceil(rows.count() / (4 * TILE)))
-    ordered = groups.repartitionByRange(parts, "n", "fp").sortWithinPartitions("n", "fp").select("fp", "key", "n", "text")
+    bin_of = F.floor(BINS * F.log2(F.greatest("n", F.lit(1)))).cast("int")
+    sizes = rows.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)), F.sum("n")).collect()  # BINS for each doubling of a text's length
+    placed, parts = _parts([tuple(r) for r in sizes], PART_TILES * TILE, PART_TILES * TILE_SHINGLES)
+    table = F.broadcast(spark.createDataFrame(placed, "bin int, first int, parts int"))
+    dealt = prints("key", "fp", "n", "text").withColumn("bin", bin_of).join(table, "bin").withColumn("part", F.col("first") + F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    ordered = dealt.repartitionById(parts, "part").sortWithinPartitions("n", "fp", "key").select("fp", "key", "n", "text")
     path = store.fresh_path(spark, "near-tiles")
-    mapped(ordered, _tiles, TILE_SCHEMA, TILE, TILE_SHINGLES).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
-    tiles = spark.read.schema(TILE_SCHEMA).parquet(path).select("tile")
+    written = mapped(ordered, _tiles, TILE_SCHEMA, TILE, TILE_SHINGLES).write
+    written.option("parquet.block.size", GROUP_BYTES).option("parquet.page.size.row.check.min", 8).parquet(path)
+    found = spark.read.schema(TILE_SCHEMA).parquet(path).select("tile", "n", F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"))
+    found = found.groupBy("tile", "file").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    boxes = store.write_shared(found, "near-boxes")
+    tiles = spark.read.parquet(boxes).select("tile")
     spread = max(1, min(tiles.count(), 8 * spark.sparkContext.defaultParallelism))
-    edges = mapped(tiles.repartition(spread), _compare, "a long, b long", path, shingle, similarity, radius)
+    edges = mapped(tiles.repartition(spread), _compare, "a long, b long", path, boxes, shingle, similarity, radius)
     named = named_components(own, edges)
     return rows.join(named, rows["key"] == named["node"]).select("doc_id", "text_hash", "root", "component_id")
 
