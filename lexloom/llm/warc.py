@@ -2,18 +2,19 @@
 
 Reading plans partitions from whole files (small ones together), takes predicates on the record
 type and the other header columns, parses a record's header first, and neither keeps nor decodes
-the payload of a record that a predicate or the payload option rules out; in an uncompressed file
-it seeks past it.  Writing is by task into a temporary folder beside the archive; the driver moves
-the files of the tasks that succeeded, so lost or repeated tasks leave no records behind.
+the payload of a record that a predicate or the payload option rules out: it seeks past it, also in
+compressed files, whose members say their size in an extra field.
 
-Which record of equal payloads is the response is found on digests only, by partial aggregation;
-pages then look up their group by digest in a sort-merge join of plain exchanges, which AQE splits
-where a third of all pages are one payload.
+Which record of equal payloads is the response is found on ids and digests only.  Payloads of rows
+that are no revisit are written where they are read; a bitmap of fixed size tells most of them
+(``marks.py``), and what it leaves in doubt moves through an exact join.
 
 Defined results: null html is an empty payload; a null url leaves its header out; a null page_id
 is written as an empty id and read as null, and never is the response while another id shares the
-payload; rows that repeat an id and its payload are all responses where that id is the largest;
-no pages give an archive without records; further columns are not read.
+payload; of rows that repeat the largest id and its payload, that with the largest url is the
+response and the others revisit it under their own id; payloads of any length are written whole, one
+at a time in memory; ids are cast to long; no pages give an archive without records; further columns
+are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import struct
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import datasource as ds
 
 from lexloom.llm import store
+from lexloom.llm.marks import Marks
 
 #: Fixed values of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
@@ -41,7 +44,12 @@ ID = "urn:lexloom:page:"
 
 COLUMNS = "page_id long, record_type string, target_uri string, payload_digest string, payload_bytes long, refers_to long"
 _HEADER = [x.split()[0] for x in COLUMNS.split(", ")]
-FILE_BYTES, PARTITION_BYTES, BATCH_BYTES = 32 << 20, 64 << 20, 8 << 20
+#: Bytes of a file at which a task begins another, of the files that one task reads, and of an Arrow batch.
+FILE_BYTES, PARTITION_BYTES, BATCH_BYTES = 256 << 20, 8 << 20, 4 << 20
+#: Bytes of a gzip header with the extra field "sl": compressed and plain size, 32 bits each.
+_HEAD = 24
+#: What lists the files of a write that succeeded.
+LISTED, OWN = "_written-", "part-"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -57,13 +65,15 @@ def _page(uri: str | None) -> int | None:
     return int(number) if number.lstrip("-").isdigit() else None
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, record_type: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str | None, record_type: str, refers_to: int | None, payload_bytes: int | None = None) -> bytes:
     """The bytes of one record; a revisit carries the digest and length of its payload alone."""
-    body = payload if record_type == "response" else b""
+    body = payload if record_type == "response" and payload else b""
+    digest = payload_digest(payload or b"") if digest is None else digest
+    size = len(payload or b"") if payload_bytes is None else payload_bytes
     fields = [("WARC-Type", record_type), ("WARC-Record-ID", _uri(page_id)), ("WARC-Date", "1970-01-01T00:00:00Z")]
     if url is not None:
         fields.append(("WARC-Target-URI", quote(url, safe="!#$%&'()*+,/:;=?@[]~")))
-    fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(payload)))]
+    fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(size))]
     if record_type == "revisit":
         fields += [("WARC-Refers-To", _uri(refers_to)), ("WARC-Profile", PROFILE)]
     fields += [("Content-Type", "text/html"), ("Content-Length", str(len(body)))]
@@ -71,6 +81,15 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return VERSION + b"\r\n" + head + b"\r\n" + body + END
 
 
+def member(data: bytes, level: int) -> bytes:
+    """A gzip member whose extra field says how many bytes to skip to the next one, and to inflate."""
+    packer = zlib.compressobj(level, zlib.DEFLATED, -15)
+    packed = packer.compress(data) + packer.flush()
+    size = _HEAD + len(packed) + 8
+    head = b"\x1f\x8b\x08\x04" + bytes(6) + struct.pack("<H2sHII", 12, b"sl", 8, size & 0xFFFFFFFF, len(data) & 0xFFFFFFFF)
+    return head + packed + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
 def header_of(head: bytes) -> dict:
     """The header columns, and under "" the length of the record's own content."""
     lines = head.split(b"\r\n")
@@ -119,40 +138,53 @@ class _Plain:
 
 
 class _Gzip:
-    """Records of a file with a gzip member each; the rest of an unwanted one is inflated to nowhere."""
+    """Records of a file with a gzip member each.
+
+    Where a member's extra field gives its size, the reader inflates the header alone and seeks to
+    the next member; of foreign members the rest is inflated to nowhere.
+    """
 
     def __init__(self, file):
-        self.file, self.raw = file, b""
+        self.file, self.size = file, file.size()
+        self.inflated = 0
 
-    def _more(self) -> bytes:
+    def _more(self, most: int = 1 << 18) -> bytes:
         """The next inflated bytes of this member, empty at its end."""
         while not self.member.eof:
             if not self.raw:
-                self.raw = self.file.read(1 << 20)
+                self.raw = self.file.read(1 << 16)
                 if not self.raw:
                     raise ValueError("the archive ends inside a record")
-            out = self.member.decompress(self.raw, 1 << 18)
+            out = self.member.decompress(self.raw, most)
             self.raw = self.member.unconsumed_tail or self.member.unused_data
             if out:
+                self.inflated += len(out)
                 return out
         return b""
 
     def heads(self):
-        while True:
-            self.raw = self.raw or self.file.read(1 << 20)
-            if not self.raw:
-                return
+        at = 0
+        while at < self.size:
+            self.file.seek(at)
+            self.raw = self.file.read(min(4096, self.size - at))
+            skip = None
+            if len(self.raw) >= _HEAD and self.raw[:2] == b"\x1f\x8b" and self.raw[3] & 4 and self.raw[12:16] == b"sl\x08\x00":
+                skip = struct.unpack_from("<I", self.raw, 16)[0]
             self.member, self.rest = zlib.decompressobj(31), b""
             while END not in self.rest:
-                got = self._more()
+                got = self._more(2048)
                 if not got:
                     raise ValueError("the archive holds a member without a record")
                 self.rest += got
             head, _, self.rest = self.rest.partition(END)
             yield header_of(head)
             self.rest = b""
-            while self._more():
-                pass
+            if skip is None:
+                while self._more():
+                    pass
+                at = self.file.tell() - len(self.raw)
+            else:
+                at += skip
 
     def payload(self, length: int) -> bytes:
         held = [self.rest]
@@ -198,7 +230,13 @@ class WarcReader(ds.DataSourceReader):
 
     def partitions(self):
         fs, path = store.file_system(self.path)
-        found = sorted((x.path, x.size) for x in fs.get_file_info(pafs.FileSelector(path)) if x.is_file and x.path.endswith((".warc", ".warc.gz")))
+        files = [x for x in fs.get_file_info(pafs.FileSelector(path)) if x.is_file]
+        listed = set()
+        for x in files:
+            if os.path.basename(x.path).startswith(LISTED):
+                with fs.open_input_file(x.path) as names:
+                    listed.update(names.read().decode().split())
+        found = sorted((x.path, x.size) for x in files if x.path.endswith((".warc", ".warc.gz")) and (not os.path.basename(x.path).startswith(OWN) or os.path.basename(x.path) in listed))
         parts, own, held = [], [], 0
         for name, size in found:
             if own and held + size > PARTITION_BYTES:
@@ -245,27 +283,29 @@ class Written(ds.WriterCommitMessage):
 
 
 class WarcWriter(ds.DataSourceArrowWriter):
-    """Rows of page_id, url, payload, digest, record_type and refers_to."""
+    """Rows of page_id, url, payload, payload_bytes, digest, record_type and refers_to.
+
+    Tasks write files of names of their own into the archive; the driver then writes one list of
+    those of the tasks that succeeded, and a reader passes over files of this writer that no list
+    names, so lost or repeated tasks leave no records behind and no file is moved.
+    """
 
     def __init__(self, options: dict):
         self.path = options["path"]
         self.gzip = options.get("compression", "gzip").lower() == "gzip"
         self.level = int(options.get("level", "4"))
-        self.temporary = f"_temporary-{uuid.uuid4().hex}"
 
     def write(self, batches):
         fs, path = store.file_system(self.path)
-        fs.create_dir(f"{path}/{self.temporary}", recursive=True)
+        fs.create_dir(path, recursive=True)
         names, out, held, stem = [], None, 0, uuid.uuid4().hex
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    names.append(f"part-{stem}-{len(names):05d}.warc" + ".gz" * self.gzip)
-                    out, held = fs.open_output_stream(f"{path}/{self.temporary}/{names[-1]}", compression=None), 0
-                data = record(row["page_id"], row["url"], row["payload"], row["digest"], row["record_type"], row["refers_to"])
-                if self.gzip:
-                    packer = zlib.compressobj(self.level, zlib.DEFLATED, 31)
-                    data = packer.compress(data) + packer.flush()
+                    names.append(f"{OWN}{stem}-{len(names):05d}.warc" + ".gz" * self.gzip)
+                    out, held = fs.open_output_stream(f"{path}/{names[-1]}", compression=None), 0
+                data = record(row["page_id"], row["url"], row["payload"], row["digest"], row["record_type"], row["refers_to"], row.get("payload_bytes"))
+                data = member(data, self.level) if self.gzip else data
                 out.write(data)
                 held += len(data)
                 if held >= FILE_BYTES:
@@ -278,16 +318,14 @@ class WarcWriter(ds.DataSourceArrowWriter):
     def commit(self, messages):
         fs, path = store.file_system(self.path)
         fs.create_dir(path, recursive=True)
-        for name in [x for m in messages if m for x in m.names]:
-            fs.move(f"{path}/{self.temporary}/{name}", f"{path}/{name}")
-        self._clear(fs, path)
+        with fs.open_output_stream(f"{path}/{LISTED}{uuid.uuid4().hex}", compression=None) as out:
+            for m in filter(None, messages):
+                out.write("".join(f"{x}\n" for x in m.names).encode())
 
     def abort(self, messages):
-        self._clear(*store.file_system(self.path))
-
-    def _clear(self, fs, path):
-        if fs.get_file_info(f"{path}/{self.temporary}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{path}/{self.temporary}")
+        fs, path = store.file_system(self.path)
+        for name in [x for m in messages if m for x in m.names]:
+            fs.delete_file(f"{path}/{name}")
 
 
 class WarcSource(ds.DataSource):
@@ -324,15 +362,38 @@ def _base32(hexed):
 
 
 def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, digest, record_type and refers_to of every page."""
+    """page_id, url, payload, payload_bytes, digest, record_type and refers_to of every page.
+
+    A revisit has no payload; a response has no digest, which its writer takes from the payload.
+    """
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    keyed = rows.withColumn("key", F.when(F.length("payload") >= min_bytes, F.sha2("payload", 256)))
-    groups = (keyed.where("key IS NOT NULL").groupBy("key").agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1 AND head IS NOT NULL").select(F.col("key").alias("of"), "head"))
-    found = keyed.join(groups, keyed["key"] == groups["of"], "left")
-    repeats = F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head"))
-    return found.select("page_id", "url", "payload", _base32(F.sha1("payload")).alias("digest"), F.when(repeats, "revisit").otherwise("response").alias("record_type"), F.when(repeats, F.col("head")).alias("refers_to"))
+    scanned = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
+    size = F.length("payload").cast("long")
+    scanned = scanned.withColumn("key", F.when(size >= min_bytes, F.unhex(F.sha2("payload", 256))))
+    own = F.concat_ws("|", F.hex("key"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.when(F.col("url").isNull(), "").otherwise(F.concat(F.lit("u"), "url")))
+    scanned = scanned.withColumn("tag", F.unhex(F.md5(own.cast("binary"))))
+    rows = store.materialise(scanned.select("page_id", "url", "key", "tag", size.alias("payload_bytes"), F.sha1("payload").alias("sha1")), "pages")
+    keyed = rows.where("key IS NOT NULL")
+    groups = (keyed.groupBy("key").agg(F.max(F.struct("page_id", "url")).alias("head"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1 AND head.page_id IS NOT NULL").select(F.col("key").alias("of"), "head"))
+    once = keyed.groupBy("page_id", "url", "key", "tag", "payload_bytes", "sha1").agg(F.count(F.lit(1)).alias("times"))
+    found = once.join(groups, once["key"] == groups["of"], "left")
+    is_head = F.struct("page_id", "url").eqNullSafe(F.col("head"))
+    again = F.when(F.col("head").isNull(), 0).otherwise(F.col("times") - F.when(is_head, 1).otherwise(0))
+    settled = store.materialise(found.select("page_id", "url", "key", "tag", "payload_bytes", "sha1", F.col("head.page_id").alias("refers_to"), "times", again.cast("long").alias("again")), "settled")
+    revisits = settled.where("again > 0").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "again")))
+    revisits = revisits.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "payload_bytes", _base32(F.col("sha1")).alias("digest"), F.lit("revisit").alias("record_type"), "refers_to")
+    # Payloads of rows that no revisit looks like are written where they are read.  Of the others only
+    # those that may be a response after all move, with the number of responses that they stand for.
+    some = settled.where("again > 0").select("tag")
+    marked = Marks(some, "tag", some.count())
+    doubtful = store.materialise(marked.tested(settled.where("times > again"), "tag", "_marked").where("_marked").select("tag", (F.col("times") - F.col("again")).alias("responses")), "doubtful")
+    tested = Marks(doubtful, "tag", doubtful.count()).tested(marked.tested(scanned.where("key IS NOT NULL"), "tag", "_marked"), "tag", "_doubtful")
+    moved = tested.where("_marked AND _doubtful").dropDuplicates(["tag"]).join(doubtful, "tag").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "responses")))
+    straight = tested.where("NOT _marked").select("page_id", "url", "payload").unionByName(scanned.where("key IS NULL").select("page_id", "url", "payload"))
+    responses = straight.unionByName(moved.select("page_id", "url", "payload"))
+    responses = responses.select("page_id", "url", "payload", size.alias("payload_bytes"), F.lit(None).cast("string").alias("digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    return responses.unionByName(revisits)
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "gzip") -> None:
