@@ -7,6 +7,7 @@ cluster shares; a temporary folder is made only where the session names none (lo
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,15 +32,38 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexloom-shared-")
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir()
     return found if "://" in found or found.startswith("file:") else "file://" + found
 
 
+#: Paths handed out in this process, in order.
+_handed: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed.append(f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _handed[-1]
+
+
+def mark() -> int:
+    """Where the list of paths stands, for ``discard``."""
+    return len(_handed)
+
+
+def discard(spark: SparkSession, since: int, keep: str | None = None) -> None:
+    """Delete what was written below paths handed out since the mark, but for ``keep``.
+
+    For a caller that has written its result: frames that still read these tables end there.
+    """
+    gone, _handed[since:] = [x for x in _handed[since:] if x != keep], [x for x in _handed[since:] if x == keep]
+    for path in gone:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
