@@ -19,7 +19,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage; what a stage wrote besides its result goes once that is written."""
+    docs, start = spark.read.parquet(f"{sf_dir}/documents.parquet"), store.mark()
     for name, stage in STAGES:
-        docs = store.materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        result = stage(spark, docs, sf_dir)
+        path = store.write_shared(result, f"pipeline-{name}")
+        docs = spark.read.schema(result.schema).parquet(path)
+        store.discard(spark, start, keep=path)
     return docs
