@@ -31,8 +31,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"))
     hashed = F.unhex(F.md5(F.col("norm").cast("binary")))
     rows = store.materialise(texts.select("doc_id", hashed.alias("hash"), F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha")), "hashes")
-    found_twice = store.materialise(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "found-twice")
-    compared = Marks(found_twice, "hash", found_twice.count()).tested(texts.withColumn("hash", hashed), "hash", "_marked").where("_marked")
+    found_twice = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    compared = Marks(found_twice, "hash").tested(texts.withColumn("hash", hashed), "hash", "_marked").where("_marked")
     groups = (compared.groupBy("hash", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .where("group_size > 1").select(F.col("hash").alias("of"), F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("own"), "keep_id", "group_size"))
     repeats = rows.groupBy("doc_id", "hash", "sha").agg(F.count(F.lit(1)).alias("times"))

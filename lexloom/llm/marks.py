@@ -2,9 +2,9 @@
 
 Of a table of keys a bit each is set, at a place told by the key's hash.  A row whose bit is not set
 has none of these keys, and is dealt with where it is read; only the others go through a join, which
-decides.  So the bitmap never changes a result, and of the rows that need no join few move.  It has 16
-bits a key, ``MOST_BITS`` (8 MB) at most, and is broadcast; with far more keys than that all bits are
-set and every row moves, as it would without.
+decides.  So the bitmap never changes a result, and of the rows that need no join few move.  It has
+``BITS`` bits (4 MB) and is broadcast; with far more keys than that all bits are set and every row
+moves, as it would without.
 """
 
 from __future__ import annotations
@@ -13,16 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.llm import store
 
-LEAST_BITS, MOST_BITS = 1 << 15, 1 << 26
+BITS = 1 << 25
 
 
 class Marks:
     """The bits of the column ``key`` of a table."""
 
-    def __init__(self, keys: DataFrame, key: str, count: int):
-        self.bits = LEAST_BITS
-        while self.bits < min(MOST_BITS, 16 * count):
-            self.bits *= 2
+    def __init__(self, keys: DataFrame, key: str):
+        self.bits = BITS
         at = keys.select(self._place(F.col(key)).alias("at"))
         table = at.groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bitmap"))
         self.table = store.materialise(table, "marks")

@@ -283,7 +283,7 @@ class Written(ds.WriterCommitMessage):
 
 
 class WarcWriter(ds.DataSourceArrowWriter):
-    """Rows of page_id, url, payload, payload_bytes, digest, record_type and refers_to.
+    """Rows of page_id, url, payload, payload_bytes, sha1, record_type and refers_to.
 
     Tasks write files of names of their own into the archive; the driver then writes one list of
     those of the tasks that succeeded, and a reader passes over files of this writer that no list
@@ -304,7 +304,8 @@ class WarcWriter(ds.DataSourceArrowWriter):
                 if out is None:
                     names.append(f"{OWN}{stem}-{len(names):05d}.warc" + ".gz" * self.gzip)
                     out, held = fs.open_output_stream(f"{path}/{names[-1]}", compression=None), 0
-                data = record(row["page_id"], row["url"], row["payload"], row["digest"], row["record_type"], row["refers_to"], row.get("payload_bytes"))
+                digest = row["sha1"] and base64.b32encode(bytes.fromhex(row["sha1"])).decode()
+                data = record(row["page_id"], row["url"], row["payload"], digest, row["record_type"], row["refers_to"], row["payload_bytes"])
                 data = member(data, self.level) if self.gzip else data
                 out.write(data)
                 held += len(data)
@@ -351,20 +352,11 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
-def _base32(hexed):
-    """Base32 of 20 bytes given as 40 hexadecimal digits: four groups of 40 bits, eight letters each."""
-    letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    out = []
-    for group in range(4):
-        bits = F.conv(F.substring(hexed, 10 * group + 1, 10), 16, 10).cast("long")
-        out += [letters.substr((F.shiftright(bits, 35 - 5 * i).bitwiseAND(F.lit(31)) + 1).cast("int"), F.lit(1)) for i in range(8)]
-    return F.concat(*out)
-
-
 def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, payload_bytes, digest, record_type and refers_to of every page.
+    """page_id, url, payload, payload_bytes, sha1, record_type and refers_to of every page.
 
-    A revisit has no payload; a response has no digest, which its writer takes from the payload.
+    A revisit has no payload but its length and SHA-1 in hexadecimal; a response has no SHA-1, as its
+    writer takes that from the payload.
     """
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     scanned = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
@@ -382,17 +374,16 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     again = F.when(F.col("head").isNull(), 0).otherwise(F.col("times") - F.when(is_head, 1).otherwise(0))
     settled = store.materialise(found.select("page_id", "url", "key", "tag", "payload_bytes", "sha1", F.col("head.page_id").alias("refers_to"), "times", again.cast("long").alias("again")), "settled")
     revisits = settled.where("again > 0").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "again")))
-    revisits = revisits.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "payload_bytes", _base32(F.col("sha1")).alias("digest"), F.lit("revisit").alias("record_type"), "refers_to")
+    revisits = revisits.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "payload_bytes", "sha1", F.lit("revisit").alias("record_type"), "refers_to")
     # Payloads of rows that no revisit looks like are written where they are read.  Of the others only
     # those that may be a response after all move, with the number of responses that they stand for.
-    some = settled.where("again > 0").select("tag")
-    marked = Marks(some, "tag", some.count())
+    marked = Marks(settled.where("again > 0"), "tag")
     doubtful = store.materialise(marked.tested(settled.where("times > again"), "tag", "_marked").where("_marked").select("tag", (F.col("times") - F.col("again")).alias("responses")), "doubtful")
-    tested = Marks(doubtful, "tag", doubtful.count()).tested(marked.tested(scanned.where("key IS NOT NULL"), "tag", "_marked"), "tag", "_doubtful")
-    moved = tested.where("_marked AND _doubtful").dropDuplicates(["tag"]).join(doubtful, "tag").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "responses")))
-    straight = tested.where("NOT _marked").select("page_id", "url", "payload").unionByName(scanned.where("key IS NULL").select("page_id", "url", "payload"))
-    responses = straight.unionByName(moved.select("page_id", "url", "payload"))
-    responses = responses.select("page_id", "url", "payload", size.alias("payload_bytes"), F.lit(None).cast("string").alias("digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    tested = Marks(doubtful, "tag").tested(marked.tested(scanned, "tag", "_marked"), "tag", "_doubtful")
+    straight = tested.where("key IS NULL OR NOT _marked")
+    moved = tested.where("key IS NOT NULL AND _marked AND _doubtful").dropDuplicates(["tag"]).join(doubtful, "tag").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "responses")))
+    responses = straight.select("page_id", "url", "payload").unionByName(moved.select("page_id", "url", "payload"))
+    responses = responses.select("page_id", "url", "payload", size.alias("payload_bytes"), F.lit(None).cast("string").alias("sha1"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
     return responses.unionByName(revisits)
 
 

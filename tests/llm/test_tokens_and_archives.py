@@ -225,8 +225,7 @@ def test_full_bitmap_changes_nothing(spark, monkeypatch):
     names = ["page_id", "record_type", "refers_to", "payload_bytes"]
     plain = sorted(map(tuple, warc.planned(pages).select(*names).collect()), key=str)
     groups = sorted(map(tuple, exact_dedup.exact_groups(docs).collect()), key=str)
-    monkeypatch.setattr(marks, "LEAST_BITS", 1)
-    monkeypatch.setattr(marks, "MOST_BITS", 1)
+    monkeypatch.setattr(marks, "BITS", 1)
     assert sorted(map(tuple, warc.planned(pages).select(*names).collect()), key=str) == plain
     assert sorted(map(tuple, exact_dedup.exact_groups(docs).collect()), key=str) == groups
     assert sum(r[1] == "response" for r in plain) == 72
