@@ -7,9 +7,12 @@ tokens are compatible if merging their bytes gives just these two; this is memoi
 prefix has one encoding only in which all neighbours are compatible, so a place once given up is
 never tried again, which bounds the work by the number of matches.
 
+Texts are cut before spaces and the parts memoised, which is right for a pattern whose pieces end
+there; any other pattern is refused.
+
 Defined results: null counts as empty and has no tokens; texts of any length are encoded whole;
-special strings inside texts are ordinary text; repeated rows give repeated results; an empty
-table gives an empty table; further columns are not read.
+special strings inside texts are ordinary text; repeated rows give repeated results; ids are cast to
+long; an empty table gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ from lexloom.llm.index import mapped
 
 #: A space between white space, or before the end after white space, belongs to a longer run.
 _RUNS = re.compile(r"\s \s|\s \Z")
+#: Fixed value: the split pattern of byte-level vocabularies.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters below are letters to any version of Unicode; signs of one byte that are no quote and no space.
+LATIN, SIGNS = "\u0250", frozenset(".,;:!?)")
 #: Entries after which a worker empties a memo; results do not depend on it.
 MEMO = 250_000
 _SHIFT = 24
@@ -47,11 +54,13 @@ class Vocabulary:
     """Tokens by id, and the order in which pairs of tokens merge."""
 
     def __init__(self, tokens: dict[int, bytes], pattern: str, pairs: dict[tuple[bytes, bytes], int] | None = None, specials: tuple[str, ...] = ()):
+        if pattern != SPLIT:
+            raise ValueError("texts are cut before spaces, which is right for one pattern only")
         self.tokens, self.pairs, self.specials = tokens, pairs, specials
         self.ids = {b: i for i, b in tokens.items()}
         self.pattern = regex.compile(pattern)
         self._fits: dict[int, bool] = {}
-        reached = {t: i for t, i in self.ids.items() if len(t) == 1 or self.merged(t) == [t]}  # no merges lead to others
+        reached = self.reached = {t: i for t, i in self.ids.items() if len(t) == 1 or self.merged(t) == [t]}  # no merges lead to others
         self.automaton = ahocorasick.Automaton()
         for token, number in reached.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), number))
@@ -85,6 +94,9 @@ class Vocabulary:
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        whole = self.reached.get(piece)
+        if whole is not None:
+            return [whole]
         size, lengths, shorter, known = len(piece), self.lengths, self.shorter, self._fits.get
         longest = [-1] * (size + 1)
         for end, (length, number) in self.automaton.iter(piece.decode("latin-1")):
@@ -134,12 +146,16 @@ class Vocabulary:
         return self.pattern.findall(text)
 
 
+def ranks_of(path: str) -> dict[int, bytes]:
+    """Lines of a base64 token and its rank."""
+    with open(path, "rb") as lines:
+        return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, filter(bytes.strip, lines))}
+
+
 @functools.cache
 def rank_file(path: str, pattern: str) -> Vocabulary:
-    """Lines of a base64 token and its rank; the rank is both id and order."""
-    with open(path, "rb") as lines:
-        tokens = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, filter(bytes.strip, lines))}
-    return Vocabulary(tokens, pattern)
+    """A file of ranks; the rank is both id and order."""
+    return Vocabulary(ranks_of(path), pattern)
 
 
 @functools.cache
@@ -186,10 +202,10 @@ class Memo:
 
     def all(self, texts: list[str]) -> list:
         found = list(map(self.new.get, texts))
-        if None in found:
-            for i, x in enumerate(found):
-                if x is None:
-                    found[i] = self(texts[i])
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            found[at] = self(texts[at])
         return found
 
 
@@ -200,12 +216,21 @@ class Encoder:
         self.vocabulary = vocabulary
         self.piece = Memo(self._piece, MEMO // 2)
         #: By what follows the chunk's space.
-        self.chunk = Memo(lambda x: self._whole(" " + x), MEMO // 2)
+        self.chunk = Memo(self._word, MEMO)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.vocabulary.encode_piece(piece.encode("utf-8"))
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _word(self, word: str) -> bytes:
+        """The ids of a space and what follows it, up to the next space: letters are one piece, a sign behind them another."""
+        if word.isalpha() and max(word) < LATIN:
+            return self._piece(" " + word)
+        head = word[:-1]
+        if head.isalpha() and word[-1] in SIGNS and max(head) < LATIN:
+            return self.chunk(head) + self.piece(word[-1])
+        return self._whole(" " + word)
+
     def _whole(self, text: str) -> bytes:
         return b"".join(map(self.piece, self.vocabulary.pieces(text)))
 

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lexloom.llm import store, token_counts
 
 BUCKETS, BUDGET, CELL_ROWS = 8, 16_384, 8192
+#: Fixed value: the special string of the vocabulary.
+SPECIALS = ("<|endoftext|>",)
 
 
 def word_count(text_col: str = "text"):
@@ -103,10 +105,10 @@ def pack(docs: DataFrame, length=None, buckets: int = BUCKETS, budget: int = BUD
 
 
 def pack_tokens(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``pack`` by the tokens that ``op8_token_counts`` counts."""
+    """``pack`` by the tokens that ``op8_token_counts`` counts: the same vocabulary, as ranks."""
     import public_tokenizers
 
-    counted = token_counts.token_totals(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, id_col, text_col)
+    counted = token_counts.token_totals(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIALS, id_col, text_col)
     return pack(counted, F.col("n_tokens"), buckets, budget)
 
 

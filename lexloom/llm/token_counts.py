@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ _LAST = operator.itemgetter(-1)
 _WHITE = regex.compile(r"\s").match
 #: With a space after white space, prefixes end otherwise than chunks do.
 _RUNS = regex.compile(r"\s ")
+#: Runs on which the library's split may overflow its stack; they are counted here.
+_LONG = re.compile(r"\s{50000}|\S{200000}").search
 #: The contractions of the pattern.
 _CONTRACTIONS = frozenset(["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"])
 
@@ -68,10 +71,8 @@ class Counter:
         self.vocabulary = vocabulary
         self.piece = byte_bpe.Memo(self._piece, byte_bpe.MEMO // 2)
         #: By what follows the chunk's space.
-        self.chunk = byte_bpe.Memo(lambda x: self._whole(" " + x), byte_bpe.MEMO // 2)
+        self.chunk = byte_bpe.Memo(self._word, byte_bpe.MEMO)
         self.first = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 16)
-        self.piece_total = byte_bpe.Memo(self._piece_total, byte_bpe.MEMO // 2)
-        self.chunk_total = byte_bpe.Memo(lambda x: self._chunk_total(" " + x), byte_bpe.MEMO)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")") if vocabulary.specials else None
 
     def _piece(self, piece: str) -> list[int]:
@@ -82,6 +83,19 @@ class Counter:
             return counts
         return [0, *[counts[at + 1] for at in range(len(raw)) if at + 1 == len(raw) or raw[at + 1] & 0xC0 != 0x80]]
 
+    def _word(self, word: str) -> list[int]:
+        """Counts of the prefixes of a space and what follows it, up to the next space.
+
+        Letters are one piece; a sign behind them is another, of one token.
+        """
+        if word.isalpha() and max(word) < byte_bpe.LATIN:
+            return self._piece(" " + word)
+        head = word[:-1]
+        if head.isalpha() and word[-1] in byte_bpe.SIGNS and max(head) < byte_bpe.LATIN:
+            counts = self.chunk(head)
+            return [*counts, counts[-1] + 1]
+        return self._whole(" " + word)
+
     def _whole(self, chunk: str) -> list[int]:
         """Counts of the chunk's prefixes, each as if the text ended there.
 
@@ -129,25 +143,6 @@ class Counter:
         held = count(tail)
         return [0, *[count(tail + content[:n]) - held for n in range(1, len(content))], 1]
 
-    def _piece_total(self, piece: str) -> int:
-        return len(self.vocabulary.encode_piece(piece.encode("utf-8")))
-
-    def _chunk_total(self, chunk: str) -> int:
-        return sum(map(self.piece_total, self.vocabulary.pieces(chunk)))
-
-    def total(self, text: str) -> int:
-        """Tokens of the whole text: ``prefixes(text).total`` without the prefixes."""
-        number = 0
-        for i, part in enumerate(self.specials.split(text) if self.specials else [text]):
-            if i % 2:
-                number += 1
-            elif _RUNS.search(part):
-                number += self._chunk_total(part)
-            elif part:
-                first, *others = part.split(" ")
-                number += self._chunk_total(first) + sum(self.chunk_total.all(others))
-        return number
-
 
 @functools.cache
 def _counter(path: str, pattern: str) -> Counter:
@@ -173,17 +168,40 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, i
     return mapped(texts, _count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, chars_within_limit long", path, pattern, limit)
 
 
-def _totals(batches, path: str, pattern: str):
-    counter = _counter(path, pattern)
+@functools.cache
+def _library(path: str, pattern: str):
+    import tiktoken
+
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={t: i for i, t in byte_bpe.ranks_of(path).items()}, special_tokens={})
+
+
+def total(text: str, path: str, pattern: str, specials: tuple[str, ...] = ()) -> int:
+    """Tokens of a text by a file of ranks, each special string one."""
+    parts = re.split("(" + "|".join(map(re.escape, specials)) + ")", text) if specials else [text]
+    number = len(parts) // 2
+    for part in filter(None, parts[::2]):
+        if len(part) >= 50_000 and _LONG(part):
+            own = byte_bpe.rank_file(path, pattern)
+            number += sum(len(own.encode_piece(x.encode("utf-8"))) for x in own.pieces(part))
+        else:
+            number += len(_library(path, pattern).encode_ordinary(part))
+    return number
+
+
+def _totals(batches, path: str, pattern: str, specials: tuple[str, ...]):
     for batch in batches:
-        totals = [counter.total(x or "") for x in batch.column("text").to_pylist()]
+        totals = [total(x or "", path, pattern, specials) for x in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(totals, pa.int64())], ["doc_id", "n_tokens"])
 
 
-def token_totals(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens) of every row, as ``token_counts`` gives them."""
+def token_totals(docs: DataFrame, path: str, pattern: str, specials: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens) of every row, for callers that ask for whole texts only: the library counts them.
+
+    ``path`` is a file of ranks; with the ranks and special strings of a vocabulary these are the numbers
+    that ``token_counts`` gives.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return mapped(texts, _totals, "doc_id long, n_tokens long", path, pattern)
+    return mapped(texts, _totals, "doc_id long, n_tokens long", path, pattern, specials)
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:

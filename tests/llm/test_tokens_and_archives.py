@@ -64,7 +64,7 @@ def test_megabytes_of_runs_take_seconds():
     counter = token_counts._counter(public.path("byte_bpe_50k.json"), public.PATTERN)
     for text in (" " * 1_000_000 + "e" * 1_000_000, "ก" * 700_000, "漢字" * 350_000):
         began = time.time()
-        assert counter.prefixes(text).total == counter.total(text)
+        assert counter.prefixes(text).total == token_counts.total(text, public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
         assert time.time() - began < 20
 
 
@@ -77,6 +77,11 @@ def test_backtracking_equals_the_merges():
         assert vocabulary.prefix_counts(piece) == [len(vocabulary.merged(piece[:n])) for n in range(len(piece) + 1)]
 
 
+def test_other_patterns_are_refused():
+    with pytest.raises(ValueError, match="one pattern"):
+        byte_bpe.rank_file(public.path("byte_bpe_multi_50k.tiktoken"), r"\w+|\W+")
+
+
 def test_memos_forget_without_effect(library, monkeypatch):
     encoder = byte_bpe.Encoder(byte_bpe.rank_file(public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN))
     encoder.piece.most = encoder.chunk.most = 3
