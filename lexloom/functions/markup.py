@@ -18,7 +18,8 @@ BLOCKS = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "t
 SILENT = {"script", "style", "template"}
 VOID = {"br", "img", "hr", "input", "meta", "link"}
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
-WIDEST = 1000
+#: The most rows that a cell of HTML spans.
+WIDEST = 65_534
 
 
 class _Reader(HTMLParser):
@@ -194,21 +195,24 @@ def table_grids(html: Column, row: str = "tr", cells: tuple[str, ...] = ("td", "
     return F.pandas_udf(grids, "array<string>")(html)
 
 
-@udtf(returnType="block string, version int, src string, pub string, eff string, text string, expiry string")
+@udtf(returnType="block string, version int, src string, pub string, eff string, text string, expiry string, error string")
 class VersionedBlocks:
-    """Blocks with dated versions of an XML document, a row each version; a broken document gives no rows.
+    """Blocks with dated versions of an XML document, a row each version.
 
-    The layout is ``block(id, expiry) > version(src, pub, eff) > p``; dates stay text.
+    The layout is ``block(id, expiry) > version(src, pub, eff) > p``; dates stay text.  Of a broken
+    document come the blocks that can be read, each with what is wrong under ``error``; where there are
+    none, or the document is empty, one row says so.
     """
 
     def eval(self, xml: str) -> Iterator[tuple]:
-        from xml.etree import ElementTree
-
-        try:
-            root = ElementTree.fromstring(xml or "")
-        except ElementTree.ParseError:
-            return
-        for block in root.iter("block"):
-            for number, version in enumerate(block.findall("version")):
-                text = "\n\n".join("".join(p.itertext()).strip() for p in version.findall("p"))
-                yield block.get("id"), number, version.get("src"), version.get("pub"), version.get("eff"), text, block.get("expiry")
+        from lexloom.sources import layouts
+
+        root, error = layouts.tree(xml or "", "xml")
+        found = 0
+        for block in layouts.find(root, "block"):
+            for number, version in enumerate(layouts.find(block, "version")):
+                text = "\n\n".join("".join(p.pieces()).strip() for p in layouts.find(version, "p"))
+                found += 1
+                yield block.attrs.get("id"), number, version.attrs.get("src"), version.attrs.get("pub"), version.attrs.get("eff"), text, block.attrs.get("expiry"), error
+        if not found:
+            yield None, None, None, None, None, None, None, error or "no blocks"

@@ -56,14 +56,18 @@ def set_cover(spark, sf_dir):
     line = views.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
     part = views.table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_size").alias("item"))
     members = line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").cast("string").alias("set"), "item")
-    chosen = g.greedy_cover(members, 200)
+    chosen = g.greedy_cover(members)
     return spark.createDataFrame([(i, *x) for i, x in enumerate(chosen)], "place int, set string, adds bigint")
 
 
-@query("until_dry")
+@query("until_dry", """WITH w AS (SELECT DISTINCT doc_id % 97 AS round, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents),
+f AS (SELECT word, min(round) AS round FROM w GROUP BY word), n AS (SELECT r.round, count(f.word) AS new FROM (SELECT DISTINCT round FROM w) r LEFT JOIN f ON f.round = r.round GROUP BY r.round),
+i AS (SELECT round, new, sum(CAST(new > 0 AS INT)) OVER (ORDER BY round) AS island FROM n), d AS (SELECT round, new, sum(CAST(new = 0 AS INT)) OVER (PARTITION BY island ORDER BY round) AS dry FROM i)
+SELECT round, new FROM d WHERE round <= coalesce((SELECT min(round) FROM d WHERE dry >= 10), 97)""")
 def until_dry(spark, sf_dir):
-    """Sample rounds of words until ten in a row bring no new one; a round is a hash class of documents."""
-    words = views.table(spark, sf_dir, "documents").select(F.pmod(F.xxhash64("doc_id"), F.lit(97)).alias("round"), F.explode(F.array_distinct(F.split(F.lower("source"), "[^a-z0-9]+"))).alias("word"))
+    """Sample rounds of the words of whole texts until ten in a row bring no new one; a round is a class of documents."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0)
+    words = views.table(spark, sf_dir, "documents").select((F.col("doc_id") % 97).alias("round"), F.explode(F.array_distinct(found)).alias("word"))
     first = words.groupBy("word").agg(F.min("round").alias("round"))
     rounds = words.select("round").distinct().join(first.groupBy("round").agg(F.count(F.lit(1)).alias("new")), "round", "left").select("round", F.coalesce("new", F.lit(0)).alias("new"))
     order = Window.orderBy("round")  # at most 97 rounds

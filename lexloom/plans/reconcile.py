@@ -217,13 +217,13 @@ def marker_algebra(spark, sf_dir):
 
 
 @query("failure_ledger", """WITH f AS (SELECT event_id AS id, user_id AS key, event_type = 'error' AS failed, ts FROM events),
-l AS (SELECT key, max_by(failed, ts) AS failing, count(*) FILTER (WHERE failed) AS failures, bool_or(failed AND id % 2 = 0) AS transient FROM f GROUP BY key)
+l AS (SELECT key, arg_max(failed, (ts, id)) AS failing, count(*) FILTER (WHERE failed) AS failures, bool_or(failed AND id % 2 = 0) AS transient FROM f GROUP BY key)
 SELECT key, failures, coalesce(transient, false) AS transient FROM l WHERE failures > 0 AND NOT failing""")
 def failure_ledger(spark, sf_dir):
     """Dead letters that a later success has cleared, by key."""
     failed = F.col("event_type") == "error"
     rows = views.table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("key")).agg(
-        F.max_by(failed, F.col("ts")).alias("failing"), F.count_if(failed).alias("failures"), F.bool_or(failed & (F.col("event_id") % 2 == 0)).alias("transient"))
+        F.max_by(failed, F.struct("ts", "event_id")).alias("failing"), F.count_if(failed).alias("failures"), F.bool_or(failed & (F.col("event_id") % 2 == 0)).alias("transient"))
     return rows.where("failures > 0 AND NOT failing").select("key", "failures", "transient")
 
 

@@ -53,7 +53,7 @@ def shifting_pages(spark, sf_dir):
     return log.unionAll(log).dropDuplicates(["norm", "kind"]).groupBy("norm").agg(F.count(F.lit(1)).alias("seen"))
 
 
-@query("probe_sequence", """WITH h AS (SELECT DISTINCT p_partkey AS n FROM part WHERE p_size < 45), s AS (SELECT i AS n, h.n IS NULL AS miss FROM range(1, 1501) t(i) LEFT JOIN h ON h.n = i),
+@query("probe_sequence", """WITH h AS (SELECT DISTINCT p_partkey AS n FROM part WHERE p_size < 45), s AS (SELECT i AS n, h.n IS NULL AS miss FROM range(1, (SELECT max(p_partkey) + 5 FROM part)) t(i) LEFT JOIN h ON h.n = i),
 g AS (SELECT n, miss, n - sum(CAST(miss AS INT)) OVER (ORDER BY n ROWS UNBOUNDED PRECEDING) AS island FROM s), r AS (SELECT n, miss, row_number() OVER (PARTITION BY island, miss ORDER BY n) AS run FROM g)
 SELECT count(*) AS hits FROM r WHERE NOT miss AND n < coalesce((SELECT min(n) FROM r WHERE miss AND run >= 3), 1e9)""")
 def probe_sequence(spark, sf_dir):
