@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexloom import views
 from lexloom.functions import dates as d, nested as n, text as t
+from lexloom.operators import instructions
 from lexloom.plans.catalogue import query
 from lexloom.session import importable
 from lexloom.views import iso
@@ -123,10 +124,24 @@ def rank_rules(spark, sf_dir):
     return views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), t.first_rule(F.col("p_type"), _RULES, "other").alias("rank"))
 
 
-@query("instruction_extract", r"""SELECT doc_id, len(regexp_extract_all(lower(text), '(the|la|der) ([a-z]{3,})')) AS n, md5(array_to_string(regexp_extract_all(lower(text), '(the|la|der) ([a-z]{3,})', 2), ',')) AS objects FROM documents""")
+_ACT = [
+    ("Art. 1° - Sustitúyese el artículo ", "p_size", "° bis de la Ley N° 19.", "p_partkey", " por el siguiente: \"Artículo ", "p_size", "° bis: texto de ", "p_type", ".\""),
+    (" Art. 2° - Deróganse los artículos 101 y ", "p_size", " de la Ley 20.000. Derógase el artículo 7 de la Ley N° 1.", "p_partkey", "."),
+    (" ARTICULO 3° - Sustitúyense los artículos 21; 22 de la Ley N° 19.550 por los siguientes: “Artículo 21- ", "p_name", ".” “Artículo 22- ", "p_brand", ".”"),
+    (" Art. 4° - Incorpórase como artículo 30 de la Ley Nro. 19.550 el siguiente: ", "p_type", ". Art. 5° - Sustitúyense los artículos 40 y 41 de la Ley N° 19.550 por los siguientes: sin comillas."),
+]
+_ORDERS = [
+    ("1", "substitute", "'19' || p_partkey", "p_size || ' bis'", "'texto de ' || p_type || '.'"), ("2", "repeal", "'20000'", "'101'", "''"), ("2", "repeal", "'20000'", "CAST(p_size AS VARCHAR)", "''"), ("2", "repeal", "'1' || p_partkey", "'7'", "''"),
+    ("3", "substitute", "'19550'", "'21'", "p_name || '.'"), ("3", "substitute", "'19550'", "'22'", "p_brand || '.'"), ("4", "insert", "'19550'", "'30'", "p_type || '.'"), ("5", "unknown", "'19550'", "'40'", "''"), ("5", "unknown", "'19550'", "'41'", "''"),
+]
+
+
+@query("instruction_extract", " UNION ALL ".join(f"SELECT p_partkey AS act, '{source}' AS source_article, '{kind}' AS kind, {law} AS law, {article} AS article, {wording} AS wording FROM part" for source, kind, law, article, wording in _ORDERS))
 def instruction_extract(spark, sf_dir):
-    found = F.regexp_extract_all(F.lower("text"), F.lit("(the|la|der) ([a-z]{3,})"), 2)
-    return _docs(spark, sf_dir).select("doc_id", F.size(found).cast("bigint").alias("n"), F.md5(F.array_join(found, ",")).alias("objects"))
+    """What an amending act orders, article by article."""
+    pieces = [F.col(x).cast("string") if i % 2 else F.lit(x) for part in _ACT for i, x in enumerate(part)]
+    acts = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("act"), F.concat(*pieces).alias("text"))
+    return instructions.orders(acts).drop("place")
 
 
 @query("ident_parse", r"""SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/]+(/[^?#]*)', 1) AS path, regexp_extract(url, '([0-9]+)[^0-9]*$', 1) AS number FROM pages""")

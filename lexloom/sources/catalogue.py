@@ -7,35 +7,13 @@ are fetched by as many tasks as the session allows and a lost task fetches its p
 from __future__ import annotations
 
 import json
-import time
-import urllib.error
-import urllib.request
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, InputPartition, SimpleDataSourceStreamReader
 
 from lexloom.session import importable
-
-#: Answers that are worth another try.
-RETRIED = {409, 429, 502, 503, 504}
-
-
-def fetch(url: str, tries: int = 4, timeout: float = 30.0, open_url=urllib.request.urlopen, sleep=time.sleep) -> bytes:
-    """The body of a URL; doubling waits between tries, no second try for other client errors."""
-    for attempt in range(tries):
-        try:
-            with open_url(url, timeout=timeout) as answer:
-                return answer.read()
-        except urllib.error.HTTPError as error:
-            if error.code not in RETRIED or attempt + 1 == tries:
-                raise
-        except urllib.error.URLError:
-            if attempt + 1 == tries:
-                raise
-        sleep(2**attempt)
-    raise AssertionError("no try was made")
-
+from lexloom.sources.http import Client
 
 class NumberedPages:
     """A catalogue that a rule makes up: ids 1..total, each with a day; for tests and demonstrations."""
@@ -55,9 +33,10 @@ class JsonPages:
 
     def __init__(self, options: dict):
         self.url, self.size = options["url"], int(options.get("pagesize", 100))
+        self.client = Client(rate=float(options.get("rate", 2)))
 
     def _get(self, offset: int, limit: int) -> dict:
-        return json.loads(fetch(self.url.format(offset=offset, limit=limit)))
+        return json.loads(self.client.get(self.url.format(offset=offset, limit=limit)).body)
 
     def count(self) -> int:
         return int(self._get(0, 1)["numFound"])

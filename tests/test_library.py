@@ -96,12 +96,12 @@ def test_closure_ends_on_cycles(spark):
 
 def test_chain_ends(spark):
     links = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (8, 9), (9, 8)], "node bigint, before bigint")
-    assert {(r["node"], r["first"], r["steps"]) for r in graph.chain_ends(links, 6).collect()} == {(2, 1, 1), (3, 1, 2), (4, 1, 3)}
+    assert {(r["node"], r["first"], r["steps"]) for r in graph.chain_ends(links).collect()} == {(2, 1, 1), (3, 1, 2), (4, 1, 3)}
 
 
 def test_cover_is_greedy(spark):
     members = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "3"), ("b", "3"), ("b", "4"), ("c", "4")], "set string, item string")
-    assert graph.greedy_cover(members, 9) == [("a", 3), ("b", 1)]
+    assert graph.greedy_cover(members) == [("a", 3), ("b", 1)]
 
 
 def test_multiset_keeps_surplus(spark):
@@ -127,26 +127,6 @@ def test_compression_keeps_nulls_apart(spark):
     assert sorted(r["n"] for r in sequence.compress(rows, ["k"], ["n"], "v").collect()) == [1, 3, 5]
 
 
-class _Answer(io.BytesIO):
-    pass
-
-
-def test_fetch_tries_again_on_some_errors():
-    waits, answers = [], [urllib.error.HTTPError("u", 503, "busy", {}, None), urllib.error.HTTPError("u", 429, "slow", {}, None), _Answer(b"ok")]
-
-    def open_url(url, timeout):
-        got = answers.pop(0)
-        if isinstance(got, Exception):
-            raise got
-        return got
-
-    assert catalogue.fetch("u", open_url=open_url, sleep=waits.append) == b"ok"
-    assert waits == [1, 2]
-    with pytest.raises(urllib.error.HTTPError):
-        answers[:] = [urllib.error.HTTPError("u", 404, "no", {}, None)]
-        catalogue.fetch("u", open_url=open_url, sleep=waits.append)
-
-
 def test_catalogue_pushdown_leaves_pages_out():
     reader = catalogue.CatalogueReader({"total": "1000", "pagesize": "100", "pagespertask": "1"})
     assert len(reader.partitions()) == 10
@@ -155,14 +135,13 @@ def test_catalogue_pushdown_leaves_pages_out():
 
 
 def test_members_of_archives():
-    assert dict(archives.Members.func().eval(archives.zipped({"a": b"1", "d/b": b"2"}))) == {"a": b"1", "d/b": b"2"}
+    assert list(archives.Members.func().eval(archives.zipped({"a": b"1", "d/b": b"2"}))) == [("a", b"1", None), ("d/b", b"2", None)]
     out = io.BytesIO()
     with tarfile.open(fileobj=out, mode="w:gz") as archive:
         info = tarfile.TarInfo("x")
         info.size = 3
         archive.addfile(info, io.BytesIO(b"abc"))
-    assert list(archives.Members.func().eval(out.getvalue())) == [("x", b"abc")]
-    assert list(archives.Members.func().eval(b"broken")) == []
+    assert list(archives.Members.func().eval(out.getvalue())) == [("x", b"abc", None)]
     assert archives.unzipped_text(gzip.compress("é".encode())) == "é"
 
 
@@ -177,3 +156,37 @@ def test_sink_takes_a_key_once(spark):
 def test_report_keeps_its_day(spark):
     same = sinks.keeping_day(F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit("new"), F.lit("old"))
     assert one(spark, same) == "old"
+
+
+def test_chains_and_closures_of_any_length(spark):
+    links = spark.range(2, 301).select(F.col("id").alias("node"), (F.col("id") - 1).alias("before"))
+    got = {r["node"]: (r["first"], r["steps"]) for r in graph.chain_ends(links).collect()}
+    assert got == {n: (1, n - 1) for n in range(2, 301)}
+    edges = spark.range(1, 40).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = graph.closure(edges, spark.createDataFrame([(1,)], "node bigint"))
+    assert found.agg(F.max("depth")).first()[0] == 39
+
+
+def test_cover_of_many_sets(spark):
+    members = spark.range(0, 25).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("set"), F.col("id").alias("item"))
+    assert len(graph.greedy_cover(members)) == 25
+
+
+def test_wide_spans_are_whole():
+    reader = markup._Tables()
+    reader.feed('<table><tr><td colspan="1500">x</td></tr><tr><td>y</td></tr></table>')
+    assert markup.grid_of(reader.tables[0]).split("\n")[2].count("x") == 1500
+
+
+def test_broken_documents_leave_a_row(spark):
+    from lexloom.sources import archives
+
+    rows = list(markup.VersionedBlocks.func().eval("<doc><block id='a'><version src='1'><p>one</p></version></block><block id='b'><version src='2'><p>two</version>"))
+    assert [(r[0], r[2], r[5]) for r in rows] == [("a", "1", "one"), ("b", "2", "two")] and all("xml" in r[-1] for r in rows)
+    assert [r[-1] for r in markup.VersionedBlocks.func().eval("")] and next(iter(markup.VersionedBlocks.func().eval("<doc/>")))[-1] == "no blocks"
+    whole = archives.zipped({"a.txt": b"one" * 50, "b.txt": b"two" * 50})
+    at = whole.index(b"b.txt") + 5
+    broken = whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1 :]
+    got = list(archives.Members.func().eval(broken))
+    assert got[0] == ("a.txt", b"one" * 50, None) and got[1][0] == "b.txt" and got[1][1] is None and got[1][2]
+    assert [x[2] is not None for x in archives.Members.func().eval(b"nothing")] == [True]
