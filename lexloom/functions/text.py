@@ -97,7 +97,8 @@ def raised(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9àâäçéèêëîïñóôöùûüßáíú]+"), 0)
+    """Words in lower case: runs of letters, marks, digits and underscores of any script."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), 0)
 
 
 def mojibake(text: Column) -> Column:

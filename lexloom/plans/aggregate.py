@@ -9,6 +9,7 @@ from pyspark.sql import Window, functions as F
 
 from lexloom import views
 from lexloom.plans.catalogue import query
+from lexloom.plans.order import numbered
 from lexloom.views import iso, with_views
 
 
@@ -99,28 +100,39 @@ SELECT doc_id, round(j, 6) AS similarity, CASE WHEN 1 - j <= 0.05 THEN 'clean' W
 def jaccard_similarity(spark, sf_dir):
     """Word-set similarity of a text with the one before it, and the class of its drift."""
     words = F.array_distinct(F.filter(F.split(F.lower("text"), " ", -1), lambda x: x != ""))
-    rows = views.table(spark, sf_dir, "documents").select("doc_id", "source", words.alias("ws"))
-    rows = rows.withColumn("vs", F.lag("ws").over(Window.partitionBy("source").orderBy("doc_id"))).where("vs IS NOT NULL")
+    sets = views.table(spark, sf_dir, "documents").select("doc_id", words.alias("ws"))
+    pairs = _before(spark, sf_dir)
+    rows = sets.join(pairs, "doc_id").join(sets.select(F.col("doc_id").alias("before"), F.col("ws").alias("vs")), "before")
     shared = F.size(F.array_intersect("ws", "vs"))
     j = shared / (F.size("ws") + F.size("vs") - shared)
     quality = F.when(1 - F.col("j") <= 0.05, "clean").when(1 - F.col("j") <= 0.30, "partial").otherwise("bootstrap_only")
     return rows.select("doc_id", j.alias("j")).select("doc_id", F.round("j", 6).alias("similarity"), quality.alias("quality"))
 
 
+def _before(spark, sf_dir):
+    """(doc_id, before): each document and the one before it in its source, by numbers given in ranges.
+
+    Only ids are ordered, and no task holds a whole source; texts join by id.
+    """
+    ids = numbered(views.table(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id")
+    last = ids.select(F.col("source").alias("of"), (F.col("n") + 1).alias("n"), F.col("doc_id").alias("before"))
+    return ids.join(last, "n").where("source = of").select("doc_id", "before")
+
+
 @query("sequence_similarity")
 def sequence_similarity(spark, sf_dir):
     """Longest-matching-blocks ratio of a text's lines with the one before it in its source.
 
-    Matching blocks have no relational form; pairs are lined up by a window and scored in Arrow batches.
+    Matching blocks have no relational form; pairs are lined up by id and scored in Arrow batches.
     """
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    pairs = docs.withColumn("before", F.lag("text").over(Window.partitionBy("source").orderBy("doc_id"))).where("before IS NOT NULL")
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = docs.join(_before(spark, sf_dir), "doc_id").join(docs.select(F.col("doc_id").alias("before"), F.col("text").alias("old")), "before")
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([difflib.SequenceMatcher(None, x.split("\n"), y.split("\n"), autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
 
-    return pairs.select("doc_id", F.round(ratio("before", "text"), 6).alias("ratio"))
+    return pairs.select("doc_id", F.round(ratio("old", "text"), 6).alias("ratio"))
 
 
 _DEFECTS = {"tabs": "contains(text, chr(9))", "double_space": "contains(text, '  ')", "pipes": "contains(text, ' | ')", "tags": "contains(text, '<')", "long_line": "length(text) > 4000"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexloom import views
-from lexloom.functions import dates as d, nested as n, text as t
+from lexloom.functions import dates as d, identifiers, nested as n, text as t
 from lexloom.operators import instructions
 from lexloom.plans.catalogue import query
 from lexloom.session import importable
@@ -98,7 +98,7 @@ def raised_numbers(spark, sf_dir):
     return views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), t.raised(text).alias("raised"))
 
 
-@query("tokenise", """SELECT doc_id, len(ts) AS n_tokens, len(list_distinct(ts)) AS n_distinct, md5(array_to_string(ts, ' ')) AS tokens FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9àâäçéèêëîïñóôöùûüßáíú]+') AS ts FROM documents)""")
+@query("tokenise", r"""SELECT doc_id, len(ts) AS n_tokens, len(list_distinct(ts)) AS n_distinct, md5(array_to_string(ts, ' ')) AS tokens FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pM\p{Nd}\p{Pc}]+') AS ts FROM documents)""")
 def tokenise(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", t.tokens(F.col("text")).alias("ts"))
     return rows.select("doc_id", F.size("ts").cast("bigint").alias("n_tokens"), F.size(F.array_distinct("ts")).cast("bigint").alias("n_distinct"), F.md5(F.array_join("ts", " ")).alias("tokens"))
@@ -150,13 +150,37 @@ def ident_parse(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", part("^https?://([^/?#]+)").alias("host"), part("^https?://[^/]+(/[^?#]*)").alias("path"), part("([0-9]+)[^0-9]*$").alias("number"))
 
 
-@query("section_grammar", r"""SELECT p_partkey AS id, (p_size % 9 + 1) || ':' || p_size || ',' || (p_size % 9 + 1) || ':' || (p_size + 2) AS affected FROM part""")
+@query("section_grammar", r"""SELECT p_partkey AS id, (p_size % 9 + 1) || ':' || p_size || ',' || (p_size % 9 + 1) || ':' || (p_size + 2) || ',' || (p_size % 9 + 1) || ':' || (p_size + 3) || ',' || (p_size % 9 + 1) || ':' || (p_size + 4) || ',2:7,4,8 a' AS affected FROM part""")
 def section_grammar(spark, sf_dir):
-    """"ch. 1: 3, 5" names 1:3 and 1:5."""
-    text = F.concat(F.lit("ch. "), (F.col("p_size") % 9 + 1).cast("string"), F.lit(": "), F.col("p_size").cast("string"), F.lit(", "), (F.col("p_size") + 2).cast("string"))
-    chapter, sections = F.regexp_extract("s", "ch[.] ([0-9]+)", 1), F.regexp_extract_all(F.regexp_extract("s", ": (.*)$", 1), F.lit("[0-9]+"), 0)
-    rows = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), text.alias("s"))
-    return rows.select("id", F.array_join(F.transform(sections, lambda x: F.concat(chapter, F.lit(":"), x)), ",").alias("affected"))
+    """"ändr. 1 kap. 3, 5-7 §§, 2 kap. 7 §; upph. 4 §; ny 8 a §" names 1:3, 1:5 to 1:7, 2:7, 4 and 8 a."""
+    size = F.col("p_size")
+    note = F.concat(F.lit("ändr. "), (size % 9 + 1).cast("string"), F.lit(" kap. "), size.cast("string"), F.lit(", "), (size + 2).cast("string"), F.lit("–"), (size + 4).cast("string"), F.lit(" §§, 2 kap. 7 §; upph. 4 §; ny 8 a §"))
+    return views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.array_join(identifiers.affected_sections(note), ",").alias("affected"))
+
+
+_IDS = {
+    "celex": ("", "R", True, 4), "gazette": ("BOE", "A", True, 0), "eli": ("pt", "dec-lei", True, 0), "urn": ("stato", "legge", True, 0),
+    "statute": ("", "ukpga", True, 0), "journal": ("", "DU", True, 0), "register": ("", "BWBR", False, 7), "yearly": ("", "", True, 0),
+}
+_OR_NULL = lambda x: f"'{x}'" if x else "CAST(NULL AS VARCHAR)"
+
+
+@query("identifiers", " UNION ALL ".join(f"SELECT p_partkey AS id, '{scheme}' AS scheme, {_OR_NULL(place)} AS place, {_OR_NULL(kind)} AS kind, {'CAST(1990 + p_size % 30 AS VARCHAR)' if year else 'CAST(NULL AS VARCHAR)'} AS year, {f'lpad(CAST(p_partkey % 10000 AS VARCHAR), {pad}, chr(48))' if pad else 'CAST(p_partkey % 10000 AS VARCHAR)'} AS number FROM part" for scheme, (place, kind, year, pad) in _IDS.items()))
+def identifiers_query(spark, sf_dir):
+    """Identifiers of each scheme built from their parts and parsed again."""
+    part = views.table(spark, sf_dir, "part").select("p_partkey", (1990 + F.col("p_size") % 30).alias("year"), (F.col("p_partkey") % 10_000).alias("number"))
+    given = lambda x: F.lit(x) if x else None
+    ids = F.array(*[identifiers.built(scheme, given(place), given(kind), F.col("year") if year else None, F.col("number")) for scheme, (place, kind, year, _) in _IDS.items()])
+    rows = part.select(F.col("p_partkey").alias("id"), F.explode(ids).alias("text")).select("id", identifiers.parsed(F.col("text")).alias("p"))
+    return rows.select("id", "p.scheme", "p.place", "p.kind", "p.year", "p.number")
+
+
+@query("short_titles", """SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'Directive ' || p_name WHEN 1 THEN 'The ' || p_type || ' Act' ELSE 'Ley ' || p_partkey || ' de ' || p_name END AS short FROM part""")
+def short_titles(spark, sf_dir):
+    name = F.col("p_name")
+    key = F.col("p_partkey")
+    title = F.when(key % 3 == 0, F.concat(F.lit("Directive "), name, F.lit(" of the European Parliament and of the Council (Text with EEA relevance)"))).when(key % 3 == 1, F.concat(F.lit("An Act to do many things (The "), F.col("p_type"), F.lit(" Act)."))).otherwise(F.concat(F.lit("Ley "), key.cast("string"), F.lit(" de "), name, F.lit(", por la que se regula.")))
+    return views.table(spark, sf_dir, "part").select(key.alias("id"), identifiers.short_title(title).alias("short"))
 
 
 @query("commit_message", """SELECT o_orderkey AS id, '[' || CASE o_orderstatus WHEN 'F' THEN 'repeal' ELSE 'reform' END || '] ' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ' — art. ' || (o_orderkey % 90) ELSE '' END || chr(10) || chr(10) || 'Source-Id: ' || o_orderkey || chr(10) || 'Norm-Id: ' || o_custkey || CASE WHEN o_orderstatus <> 'P' THEN chr(10) || 'Source-Date: ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE '' END AS message FROM orders""")

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from lexloom import views
 from lexloom.plans.catalogue import query
 from lexloom.session import importable, materialise, scratch
-from lexloom.sources import archives, catalogue, registry, sinks
+from lexloom.sources import archives, catalogue, http, registry, sinks
 from lexloom.views import iso, with_views
 
 
@@ -112,11 +112,11 @@ def _zip(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": [f"{rows['lang'].iloc[0]}-{rows['part'].iloc[0]}.zip"], "content": [archives.zipped(files)]})
 
 
-@query("archive_members", """SELECT lang || '-' || (doc_id % 16) || '.zip' AS archive, doc_id || '.txt' AS name, md5(text) AS digest FROM documents""")
+@query("archive_members", """SELECT lang || '-' || (doc_id // 200) || '.zip' AS archive, doc_id || '.txt' AS name, md5(text) AS digest FROM documents""")
 def archive_members(spark, sf_dir):
-    """Documents packed into ZIP archives, written, and read back as members."""
+    """Documents packed into ZIP archives of 200 at most, written, and read back as members."""
     importable(spark)
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", "lang", "text", (F.col("doc_id") % 16).alias("part"))
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "lang", "text", F.expr("doc_id div 200").alias("part"))
     packed = materialise(docs.groupBy("lang", "part").applyInPandas(_zip, "name string, content binary"), "archives")
     packed.createOrReplaceTempView("lexloom_archives")
     spark.udtf.register("archive_members", archives.Members)
@@ -239,10 +239,28 @@ def identical_snapshots(spark, sf_dir):
     return rows.withColumn("before", before).where("before IS NULL OR h <> before").select("norm", "src", "block")
 
 
-@query("halving_pages", """SELECT o_custkey AS key, count(*) AS n, CAST(ceil(count(*) / 8.0) AS BIGINT) AS pages FROM orders GROUP BY 1""")
+_CAP = 90
+
+
+def _halve(rows: pd.DataFrame) -> pd.DataFrame:
+    """Ask a source that cuts its answers at ``_CAP`` rows for all keys of a batch."""
+    held = {key: own["id"].tolist() for key, own in rows.groupby("key")}
+    asked = []
+
+    def ask(keys):
+        asked.append(keys)
+        return [(key, number) for key in keys for number in held[key]][:_CAP]
+
+    found = http.halved(sorted(held), ask, _CAP)
+    return pd.DataFrame(found, columns=["key", "id"]).assign(requests=len(asked))
+
+
+@query("halving_pages", """WITH r AS (SELECT o_custkey AS key, o_orderkey AS id, o_custkey // 64 AS batch FROM orders), n AS (SELECT batch, count(*) AS n FROM r GROUP BY batch) SELECT key, id, n >= 90 AS halved FROM r JOIN n ON r.batch = n.batch""")
 def halving_pages(spark, sf_dir):
-    """Pages that would hit the row cap are split until none does."""
-    return views.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("n")).withColumn("pages", F.ceil(F.col("n") / 8.0))
+    """Batches of 64 keys; one whose answer hits the row cap is asked for in halves until none does."""
+    importable(spark)
+    rows = views.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("id"), F.expr("o_custkey div 64").alias("batch"))
+    return rows.groupBy("batch").applyInPandas(_halve, "key long, id long, requests int").select("key", "id", (F.col("requests") > 1).alias("halved"))
 
 
 _SIGNALS = ("exact", "cumulative", "snapshot", "probe", "none")
@@ -264,6 +282,50 @@ def daily_signals(spark, sf_dir):
     return out
 
 
+_DAY = "DATE '2024-01-29'"
+_DAILY_ROWS = f"""{with_views('log')}, c AS (SELECT norm AS key, count(*) AS digest FROM log GROUP BY norm),
+rows_ AS (SELECT DISTINCT l.norm AS key, l.day, c.digest, CASE l.kind WHEN 'purchase' THEN 'consolidated' WHEN 'signup' THEN 'amended' ELSE 'published' END AS feed, CASE WHEN l.norm % 4 = 1 THEN l.norm - 1 END AS base, l.kind = 'error' AS removed FROM log l JOIN c ON c.key = l.norm),
+before_ AS (SELECT norm AS key, count(*) AS digest FROM log WHERE day < {_DAY} AND norm % 7 <> 0 GROUP BY norm), pending_ AS (SELECT DISTINCT norm AS key FROM log WHERE kind = 'error' AND norm % 11 = 0)"""
+
+
+def _daily_sql(source: registry.Source) -> str:
+    """The same rule as SQL: each option of it a step of its own."""
+    rule, rows = registry.DAILY.get(source.code, registry.Daily()), "rows_"
+    if rule.removed:
+        rows = f"(SELECT * FROM {rows} WHERE NOT removed)"
+    if rule.base:
+        rows = f"(SELECT * REPLACE (coalesce(base, key) AS key) FROM {rows})"
+    if rule.latest:
+        rows = f"(SELECT key, max(day) AS day, any_value(digest) AS digest, 'published' AS feed FROM {rows} GROUP BY key)"
+    snapshot = f"SELECT r.key FROM {rows} r LEFT JOIN before_ b ON r.key = b.key WHERE b.digest IS NULL OR b.digest <> r.digest"
+    found = {
+        "exact": " UNION ".join(f"SELECT key FROM {rows} WHERE {'TRUE' if rule.latest else f'feed = {chr(39)}{feed}{chr(39)}'} AND day BETWEEN {_DAY} - {back} AND {_DAY}" for feed, back in rule.feeds),
+        "cumulative": f"SELECT key FROM {rows} WHERE day >= {_DAY} AND key NOT IN (SELECT key FROM {rows} WHERE day > {_DAY})",
+        "snapshot": snapshot, "probe": f"SELECT key FROM {rows} WHERE key > (SELECT coalesce(max(key), 0) FROM before_)", "none": "SELECT key FROM rows_ WHERE FALSE",
+    }[source.signal]
+    found += {"snapshot": f" UNION {snapshot}", "pending": " UNION SELECT key FROM pending_", "": ""}[rule.also]
+    return f"SELECT DISTINCT '{source.code}' AS source, key FROM ({found}) {'WHERE key IN (SELECT key FROM before_)' if rule.scope else ''}"
+
+
+@query("daily_by_source", f"{_DAILY_ROWS} " + " UNION ALL ".join(map(_daily_sql, registry.SOURCES)))
+def daily_by_source(spark, sf_dir):
+    """What each registered source reports for one day, by its own rule."""
+    log = views.log(spark, sf_dir)
+    feed = F.when(F.col("kind") == "purchase", "consolidated").when(F.col("kind") == "signup", "amended").otherwise("published")
+    rows = log.select(F.col("norm").alias("key"), "day", feed.alias("feed"), F.when(F.col("norm") % 4 == 1, F.col("norm") - 1).alias("base"), (F.col("kind") == "error").alias("removed")).distinct()
+    counts = log.groupBy(F.col("norm").alias("key")).agg(F.count(F.lit(1)).alias("digest"))
+    rows = materialise(rows.join(counts, "key"), "daily-rows")
+    before = materialise(log.where(f"day < {_DAY} AND norm % 7 <> 0").groupBy(F.col("norm").alias("key")).agg(F.count(F.lit(1)).alias("digest")), "daily-before")
+    pending = log.where("kind = 'error' AND norm % 11 = 0").select(F.col("norm").alias("key")).distinct()
+    out = None
+    for source in registry.SOURCES:
+        # A key's newest day says nothing of its list, so such a source has one.
+        own = rows.withColumn("feed", F.lit("published")) if registry.DAILY.get(source.code, registry.Daily()).latest else rows
+        part = registry.daily(source.code, own, before, "2024-01-29", pending).select(F.lit(source.code).alias("source"), "key")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
 @query("source_registry", "SELECT * FROM (VALUES " + ", ".join(f"('{x.code}', '{x.formats}', '{x.history}', '{x.signal}', '{x.status}')" for x in registry.SOURCES) + ") v(code, formats, history, signal, status)")
 def source_registry(spark, sf_dir):
     return registry.table(spark)

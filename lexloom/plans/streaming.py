@@ -51,7 +51,7 @@ def stream_dedup(spark, sf_dir):
 def stream_idempotent_sink(spark, sf_dir):
     """The same feed twice: the second run, from its beginning, adds no row."""
     schema = views.log(spark, sf_dir).select("norm", "kind", "day").schema
-    sink = daily.Sink(spark, schema, ["norm", "kind", "day"], "sink")
+    sink = daily.Sink(spark, schema, ["norm", "kind", "day"], "sink", "day")
     stream = _feed(spark, sf_dir)
     daily.run(stream, sink.write, scratch(spark, "checkpoint"))
     first = sink.read().count()
@@ -105,7 +105,7 @@ def resume_after_crash(spark, sf_dir):
     path = scratch(spark, "resume")
     rows.where("chunk < 4").select("id", "chunk").write.parquet(path)  # what the first run got done
     done = spark.read.parquet(path).select("chunk").distinct()
-    rows.select("id", "chunk").join(F.broadcast(done), "chunk", "left_anti").select("id", "chunk").write.mode("append").parquet(path)
+    rows.select("id", "chunk").join(done, "chunk", "left_anti").select("id", "chunk").write.mode("append").parquet(path)
     return spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("n_events"), F.min("id").alias("least_id"))
 
 

@@ -35,19 +35,26 @@ def run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
 
 
 class Sink:
-    """A table that takes a key once: a batch replayed, or a key read again, adds nothing."""
+    """A table that takes a key once: a batch replayed, or a key read again, adds nothing.
 
-    def __init__(self, spark: SparkSession, schema, keys: list[str], label: str):
-        self.spark, self.schema, self.keys = spark, schema, keys
+    The table is partitioned by ``day``, which is part of the key, and a batch is compared with the
+    partitions of its own days only.
+    """
+
+    def __init__(self, spark: SparkSession, schema, keys: list[str], label: str, day: str):
+        self.spark, self.schema, self.keys, self.day = spark, schema, keys, day
         self.path = scratch(spark, label)
-        spark.createDataFrame([], schema).write.parquet(self.path)
+        spark.createDataFrame([], schema).write.partitionBy(day).parquet(self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """New keys of a batch; the anti join sees the table as it was before."""
-        batch.dropDuplicates(self.keys).join(self.read().select(*self.keys), self.keys, "left_anti").select(*[f.name for f in self.schema]).write.mode("append").parquet(self.path)
+        days = [r[0] for r in batch.select(self.day).distinct().collect()]  # the days of one micro-batch
+        held = self.read().where(F.col(self.day).isin(days)).select(*self.keys)
+        new = batch.dropDuplicates(self.keys).join(held, self.keys, "left_anti")
+        new.select(*[f.name for f in self.schema]).write.mode("append").partitionBy(self.day).parquet(self.path)
 
 
 PENDING = "norm long, failures long, last_day string, pending boolean"

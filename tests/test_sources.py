@@ -243,3 +243,39 @@ def test_health_finds_each_fault(spark):
         "excluded for a failure that may pass": ("ERROR", 1, "d"), "excluded without a reason": ("WARN", 1, "e"), "published and excluded at once": ("ERROR", 1, "b"), "event of a norm without a file": ("ERROR", 1, "q"), "event with an epoch day": ("WARN", 2, "a"),
         "event in the near future": ("WARN", 1, "b"), "event in the far future": ("ERROR", 1, "c"), "event told twice": ("ERROR", 1, "a"), "file not where the layout says": ("ERROR", 2, "y/a.md, z/c.md"), "empty file": ("ERROR", 1, "y/a.md"), "file under 50 bytes": ("WARN", 1, "x/b.md"),
         "heading without a text": ("ERROR", 1, "z/c.md"), "field of the source that no file carries": ("ERROR", 1, "f"), "field of the source that some files lose": ("WARN", 1, "g")}
+
+
+def test_plugins_load_what_they_name():
+    assert registry.plugin("fr").layout is LAYOUTS["fr"] and registry.plugin("fr").hook("daily") is None
+    registry.hook("fr", "daily", "lexloom.streaming.days:run")
+    assert registry.plugin("fr").hook("daily") is days.run and registry.plugin("es").hook("daily") is None
+    registry._hooks.clear()
+    with pytest.raises(ValueError, match="no such hook"):
+        registry.plugin("fr").hook("other")
+    with pytest.raises(KeyError):
+        registry.plugin("xx")
+
+
+def test_maps_can_be_put_in(spark):
+    docs = spark.createDataFrame([("1", SAMPLES["fr"].text.encode())], "norm string, content binary")
+    got = registry.plugin("fr").read(docs, ranks={"CODE": "kodex"}, rank_else="?")
+    assert {r["rank"] for r in got.collect()} == {"kodex"}
+
+
+def test_identifiers_of_other_forms(spark):
+    from lexloom.functions import identifiers
+
+    texts = {"http://data.europa.eu/eli/dir/2016/1164/oj": ("eli", None, "dir", "2016", "1164"), "https://data.dre.pt/eli/lei/7/2009/02/12/p": None, "32016R0679": ("celex", None, "R", "2016", "0679"), "02016R0679-20160504": ("celex", None, "R", "2016", "0679"), "http://www.legislation.gov.uk/id/asp/2003/4": ("statute", None, "asp", "2003", "4"),
+             "/us/usc/t5/s101": ("code", "us", "usc", None, "5"), "urn:nir:stato:legge:1990-08-07;241": ("urn", "stato", "legge", "1990", "241"), "SFS 1998:204": ("yearly", None, None, "1998", "204"), "nothing": None, "": None}
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", identifiers.parsed(F.col("t")).alias("p")).collect()
+    got = {r["t"]: None if r["p"] is None else tuple(r["p"]) for r in rows}
+    assert {k: v for k, v in got.items() if texts[k] is not None} == {k: v for k, v in texts.items() if v}
+    assert got["nothing"] is None and got[""] is None
+
+
+def test_sections_of_notes(spark):
+    from lexloom.functions import identifiers
+
+    notes = {"ändr. 3, 5 §§": ["3", "5"], "ny 2 kap. 7 a §": ["2:7 a"], "upph. 4–6 §§ och 9 §": ["4", "5", "6", "9"], "omtryck": [], None: []}
+    got = {r["n"]: r["s"] for r in spark.createDataFrame([(x,) for x in notes], "n string").select("n", identifiers.affected_sections(F.col("n")).alias("s")).collect()}
+    assert got == notes
