@@ -6,8 +6,11 @@ Arrow UDFs over one document at a time, on the standard library's tolerant parse
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from html import escape
 from html.parser import HTMLParser
+from xml.sax.saxutils import quoteattr
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -178,19 +181,64 @@ def grid_of(rows: list[list]) -> str:
     return "\n".join([shown(head), shown(["---"] * width), *map(shown, grid)])
 
 
-def _grids(row: str, cells: tuple[str, ...], html: pd.Series) -> pd.Series:
-    def grids(text: str | None) -> list[str]:
-        reader = _Tables(row, cells)
-        reader.feed(text or "")
-        return [g for g in map(grid_of, reader.tables) if g]
+#: What stays of a table inside a table, which a pipe table has no form for.
+KEPT_TAGS = frozenset("table colgroup col thead tbody tfoot tr th td caption p span b strong i em sup sub br a img".split())
+KEPT_ATTRIBUTES = ("rowspan", "colspan", "href", "src", "alt")
 
-    return html.map(grids)
 
+def kept_markup(node) -> str:
+    """A tree as HTML with the kept elements and attributes alone; of others their text stays, of odd links nothing."""
+    out = []
+    for item in node.items:
+        if isinstance(item, str):
+            out.append(escape(item, quote=False) if item.strip() else "")
+        elif item.tag not in KEPT_TAGS:
+            out.append("" if item.tag in SILENT else kept_markup(item))
+        else:
+            named = [(k, item.attrs[k]) for k in KEPT_ATTRIBUTES if item.attrs.get(k) and (k not in ("href", "src") or re.match(r"(?:https?:/|[/#])", item.attrs[k]))]
+            out.append(f"<{item.tag}{''.join(f' {k}={quoteattr(v)}' for k, v in named)}>" + ("" if item.tag in VOID else f"{kept_markup(item)}</{item.tag}>"))
+    return "".join(out)
 
-def table_grids(html: Column, row: str = "tr", cells: tuple[str, ...] = ("td", "th")) -> Column:
-    """The tables of each page as pipe tables; ``row`` and ``cells`` name the tags of the dialect."""
+
+def _outer_tables(node) -> Iterator:
+    for item in node.items:
+        if not isinstance(item, str):
+            if item.tag == "table":
+                yield item
+            else:
+                yield from _outer_tables(item)
+
+
+def grids_of(html: str | None, row: str = "tr", cells: tuple[str, ...] = ("td", "th"), cell: Callable[[str], str] | None = None) -> list[str]:
+    """The outermost tables: pipe tables below their captions, or markup where a table holds another one.
+
+    ``cell`` is called with the text of each cell and gives what is shown.
+    """
+    from lexloom.sources import layouts
+
+    reader = _Tables(row, cells)
+    reader.feed(html or "")
+    out = []
+    root, _ = layouts.tree(html or "", "html")
+    for rows, node in zip(reader.tables, _outer_tables(root)):
+        if layouts.find(node, "table"):
+            whole = layouts.Node("")
+            whole.items.append(node)
+            out.append(kept_markup(whole))
+            continue
+        for line in rows if cell else ():
+            for x in line:
+                x[0] = cell(x[0])
+        caption, grid = layouts.first(node, "caption"), grid_of(rows)
+        if grid:
+            out.append(f"{caption}\n\n{grid}" if caption else grid)
+    return out
+
+
+def table_grids(html: Column, row: str = "tr", cells: tuple[str, ...] = ("td", "th"), cell: Callable[[str], str] | None = None) -> Column:
+    """The tables of each page; ``row`` and ``cells`` name the tags of the dialect, ``cell`` changes a cell's text."""
     def grids(html: pd.Series) -> pd.Series:
-        return _grids(row, cells, html)
+        return html.map(lambda text: grids_of(text, row, cells, cell))
 
     return F.pandas_udf(grids, "array<string>")(html)
 

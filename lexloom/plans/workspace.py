@@ -124,6 +124,19 @@ def command_rewrite(spark, sf_dir):
     return work.events().select("n", F.regexp_extract("subject", r"^(\[\w+\])", 1).alias("head"))
 
 
+@query("command_meta", "SELECT 'first' AS run, 'README.md' AS name UNION ALL SELECT 'first', 'coverage.json' UNION ALL SELECT 'first', 'manifest.json' UNION ALL SELECT 'third', 'README.md' UNION ALL SELECT 'third', 'coverage.json'")
+def command_meta(spark, sf_dir):
+    """What is written about a workspace: everything at first, nothing while nothing changes, then what did."""
+    work, docs = _workspace(spark, "meta"), documents(spark, sf_dir, SOURCE)
+    known = docs.select(F.col("norm").alias("key"))
+    none = spark.createDataFrame([], "key string, reason string")
+    work.bootstrap(docs.where("CAST(norm AS BIGINT) % 2 = 0"), "2024-01-01")
+    written = [("first", work.meta(known, none, "2024-01-01")), ("second", work.meta(known, none, "2024-01-02"))]
+    work.bootstrap(docs, "2024-01-03")
+    written.append(("third", work.meta(known, none, "2024-01-03")))
+    return spark.createDataFrame([(run, name) for run, names in written for name in names], "run string, name string")
+
+
 _FED = "f AS (SELECT user_id AS key, event_id AS id, CAST(ts AS DATE) AS day, event_type AS kind FROM events)"
 
 

@@ -117,28 +117,31 @@ class Report:
             raise RuntimeError("; ".join(said))
 
 
-def run(spark: SparkSession, state: State, today: date, process: Callable[[date, list[str]], tuple[int, dict[str, str], set[str]]], log: date | None = None, clock: Callable[[], float] | None = None, budget: float | None = None, **how) -> Report:
+def run(spark: SparkSession, state: State, today: date, process: Callable[[date, list[str]], tuple[int, dict[str, str], set[str]]], log: date | None = None, clock: Callable[[], float] | None = None, budget: float | None = None, most_failures: int | None = None, **how) -> Report:
     """Take each day: publish, note failures, look at pending keys again, then move the cursor.
 
     ``process(day, pending keys)`` gives (events published, keys that failed with their reasons, keys that
     are settled); an exception fails the day and not the run.  The cursor stops before the first day that
     failed, and days past it are still published, as their events are known again by their keys.  Days for
-    which the time budget does not last are put off.  The state is saved after each day.
+    which the time budget does not last are put off, and so are the rest after ``most_failures`` failed days
+    in a row.  The state is saved after each day.
     """
     plan, report = planned(today, state.cursor, log, **how), Report()
     if plan is None:
         return report
     report.dropped = plan.dropped
-    began = clock() if clock else 0.0
+    began, row = clock() if clock else 0.0, 0
     for day in plan.days:
-        if budget is not None and clock() - began > budget:
+        if budget is not None and clock() - began > budget or most_failures is not None and row >= most_failures:
             report.put_off.append(day)
             continue
         try:
             published, failed, settled = process(day, sorted(state.pending))
         except Exception as wrong:  # a day's failure must not lose the days after it
             report.errors.append(f"{day}: {type(wrong).__name__}: {wrong}")
+            row += 1
         else:
+            row = 0
             report.published += published
             for key in settled:
                 state.pending.pop(key, None)
@@ -156,3 +159,23 @@ def newest_day(events: DataFrame, today: date, last: int = 500, stamped: str | N
     if stamped:
         rows = rows.where(~F.col(stamped))
     return rows.agg(F.max("day")).first()[0]
+
+
+def worked_off(waiting: list, take: Callable[[list], dict], batch: int, clock: Callable[[], float], budget: float) -> tuple[list, list]:
+    """(done, left): a queue in batches until it is empty, the time is up, or a whole batch is refused.
+
+    ``take`` gives the refused items of a batch with their reasons; they go to the end of the queue, so the
+    next run begins with what has not been tried.  A run in which nothing was done is an error.
+    """
+    queue, done, refused, until = list(waiting), [], {}, clock() + budget
+    while queue and clock() < until:
+        own, queue = queue[:batch], queue[batch:]
+        failed = take(own)
+        done += [x for x in own if x not in failed]
+        queue += [x for x in own if x in failed]
+        refused |= failed
+        if len(failed) == len(own):
+            break
+    if refused and not done:
+        raise RuntimeError(f"everything was refused: {next(iter(refused.values()))}")
+    return done, queue

@@ -9,6 +9,8 @@ that is started again goes on behind the last whole one.  What is written alread
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -133,11 +135,12 @@ class Workspace:
         content = F.md5(F.array_join(F.transform("changed", lambda x: F.concat_ws("=", x["unit"], x["digest"])), ";").cast("binary"))
         return found.select("norm", "src", "day", kind.alias("kind"), subject.alias("subject"), F.array_join(names, ",").alias("units"), content.alias("content"))
 
-    def commit(self, dry_run: bool = False, fresh: bool = False, until: str | None = None) -> DataFrame:
+    def commit(self, dry_run: bool = False, fresh: bool = False, until: str | None = None, write: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
         """Append the events that the log lacks, in order of day, norm and source; those that would be, if ``dry_run``.
 
-        ``fresh`` begins the log anew.  Chunks are written one after the other; each is a folder that is
-        renamed into the log when it is whole.
+        ``fresh`` begins the log anew.  Chunks are written one after the other; each is a file that is
+        renamed into the log when it is whole.  ``write`` is given each chunk and its number first, so
+        another log can follow this one.
         """
         from lexloom.plans.order import numbered
 
@@ -153,7 +156,10 @@ class Workspace:
         placed = rows.withColumn("chunk", F.expr(f"(n - 1) div {self.chunk_events}")).select(*[x.split()[0] for x in EVENTS.split(", ")])
         if not dry_run:
             for at in range(start // self.chunk_events, -(-(start + rows.count()) // self.chunk_events)):
-                self._append(placed.where(F.col("chunk") == at), at, start)
+                chunk = placed.where(F.col("chunk") == at)
+                if write is not None:
+                    write(chunk, at)
+                self._append(chunk, at, start)
             self._render(rows.select("norm").distinct())
         return placed
 
@@ -208,6 +214,35 @@ class Workspace:
         last = log.agg(F.max("n").alias("last"))
         return log.join(F.broadcast(last), F.lit(True)).where(((F.col("n") % self.slice_events == 0) | (F.col("n") == F.col("last"))) & (F.col("n") > published)).select("n")
 
+    def meta(self, discovered: DataFrame, exclusions: DataFrame, day: str) -> list[str]:
+        """Write README.md, manifest.json and coverage.json where they would change; the names written.
+
+        The coverage keeps its day while nothing else in it changes.
+        """
+        counts = {r["stage"]: r["n"] for r in self.status().collect()}
+        left = self.coverage(discovered, exclusions)
+        reasons = {r["reason"]: r["n"] for r in left.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy("reason").collect()}  # a row a reason
+        covered = {"source": self.code, "discovered": discovered.select("key").distinct().count(), "published": counts["files"], "excluded": reasons, "transient": left.where("transient").count()}
+        before = self._read("coverage.json")
+        held = json.loads(before) if before else {}
+        covered["as_of"] = held["as_of"] if {k: v for k, v in held.items() if k != "as_of"} == covered else day
+        wanted = {
+            "README.md": f"# {self.code}\n\n{counts['files']} documents, {counts['events']} events.\n",
+            "manifest.json": json.dumps({"source": self.code, "path": f"{self.code}/{{id}}.md", "formats": self.layout.form, "chunk_events": self.chunk_events}, indent=2) + "\n",
+            "coverage.json": json.dumps(covered, indent=2, ensure_ascii=False) + "\n",
+        }
+        changed = [name for name, text in wanted.items() if self._read(name) != text]
+        for name in changed:
+            fs, at = self._at(name)
+            out = fs.create(at, True)
+            out.write(bytearray(wanted[name].encode()))
+            out.close()
+        return changed
+
+    def _read(self, name: str) -> str | None:
+        fs, at = self._at(name)
+        return self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0] if fs.exists(at) else None
+
     def status(self) -> DataFrame:
         """stage, n: how many norms each stage holds, and the events."""
         stages = [("documents", self.documents()), ("units", self.units().where("unit IS NOT NULL")), ("files", self.files())]

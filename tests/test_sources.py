@@ -279,3 +279,33 @@ def test_sections_of_notes(spark):
     notes = {"ändr. 3, 5 §§": ["3", "5"], "ny 2 kap. 7 a §": ["2:7 a"], "upph. 4–6 §§ och 9 §": ["4", "5", "6", "9"], "omtryck": [], None: []}
     got = {r["n"]: r["s"] for r in spark.createDataFrame([(x,) for x in notes], "n string").select("n", identifiers.affected_sections(F.col("n")).alias("s")).collect()}
     assert got == notes
+
+
+def test_runs_stop_after_failures_in_a_row(spark, tmp_path):
+    def process(day, pending):
+        if day.day > 11:
+            raise ValueError("contract")
+        return 1, {}, set()
+
+    report = days.run(spark, days.State(f"file://{tmp_path}/s", cursor=date(2024, 1, 10)), date(2024, 1, 20), process, most_failures=3, since=date(2024, 1, 11))
+    assert len(report.days) == 4 and len(report.put_off) == 6 and report.put_off[0] == date(2024, 1, 15)
+
+
+def test_queues_are_worked_off():
+    clock = iter(range(100))
+    assert days.worked_off(list("abcdef"), lambda own: {x: "busy" for x in own if x in "b"} if "b" in own and "a" in own else {}, 2, lambda: next(clock), 50) == (["a", "c", "d", "e", "f", "b"], [])
+    clock = iter(range(100))
+    assert days.worked_off(list("abcdef"), lambda own: {}, 2, lambda: next(clock), 2) == (["a", "b"], ["c", "d", "e", "f"])
+    clock = iter(range(100))
+    assert days.worked_off(list("abcd"), lambda own: {x: "no" for x in own} if "c" in own else {}, 2, lambda: next(clock), 50) == (["a", "b"], ["c", "d"])
+    with pytest.raises(RuntimeError, match="busy"):
+        days.worked_off(["a"], lambda own: {"a": "busy"}, 2, lambda: 0, 1)
+
+
+def test_tables_in_tables_and_cells():
+    from lexloom.functions import markup
+
+    html = '<div><table><caption>Cap</caption><tr><td>a</td><td>b</td></tr></table><table class="x"><tr><td><table><tr><td onclick="y"><a href="javascript:z">in</a> <u>u</u></td></tr></table></td></tr></table></div>'
+    flat, nested = markup.grids_of(html, cell=str.upper)
+    assert flat.startswith("Cap\n\n") and "| A | B |" in flat
+    assert nested == "<table><tr><td><table><tr><td><a>in</a>u</td></tr></table></td></tr></table>"
