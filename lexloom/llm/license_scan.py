@@ -259,7 +259,7 @@ def scan(docs: DataFrame, own: list[tuple[str, str]] | None = None, cover: float
         F.floor(F.col("word") / _BITS).cast("int").alias("part"), F.expr(f"shiftleft(1L, word % {_BITS})").alias("bit"))
     votes = hits.groupBy(*_KEY, "n_words", "template", "diagonal", "part").agg(F.bit_or("bit").alias("mask"), F.count(F.lit(1)).alias("copies"))
     order = [*_KEY, "template", "diagonal", "part"]
-    rows = votes.repartition("lo", "hi").sortWithinPartitions(*order)
+    rows = votes.repartition(*_KEY).sortWithinPartitions(*order)
     return mapped(rows, _verify, RESULT, known, cover, slack)
 
 
