@@ -155,6 +155,32 @@ def defect_histogram(spark, sf_dir):
     return counts.join(clean, "lang").select("lang", "defect", "n", "clean_percent")
 
 
+_CONSTRUCTS = {"lines": r"\n", "numbers": "[0-9]+", "sentences": "[.] ", "quotes": '"'}
+_KEPT = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN replace(text, '. ', ' ') WHEN 2 THEN regexp_replace(text, '[0-9]+', '#'{g}) ELSE left(text, CAST(length(text) * 0.8 AS INT)) END"
+
+
+@query("fidelity_report", f"""WITH d AS (SELECT doc_id, lang, text, {_KEPT.format(g=", 'g'")} AS shown FROM documents WHERE text <> ''),
+s AS (SELECT lang, {", ".join(f"len(regexp_extract_all(text, '{p}')) AS {n}_a, len(regexp_extract_all(shown, '{p}')) AS {n}_b" for n, p in _CONSTRUCTS.items())}, length(shown) / length(text) AS kept FROM d),
+c AS (SELECT lang, concat_ws(',', {", ".join(f"CASE WHEN {n}_b < {n}_a THEN '{n}' END" for n in _CONSTRUCTS)}) AS lost, CASE WHEN kept >= 0.95 THEN 'whole' WHEN kept >= 0.7 THEN 'partial' ELSE 'poor' END AS size FROM s)
+SELECT lang, size, lost, count(*) AS n FROM c GROUP BY ALL""")
+def fidelity_report(spark, sf_dir):
+    """What a rendering lost of its source: constructs by their counts, and the class of what is left."""
+    docs = views.table(spark, sf_dir, "documents").where("text <> ''").select("lang", "text", F.expr(_KEPT.format(g="")).alias("shown"))
+    lost = F.concat_ws(",", *[F.when(F.regexp_count("shown", F.lit(p)) < F.regexp_count("text", F.lit(p)), n) for n, p in _CONSTRUCTS.items()])
+    kept = F.length("shown") / F.length("text")
+    size = F.when(kept >= 0.95, "whole").when(kept >= 0.7, "partial").otherwise("poor")
+    return docs.select("lang", size.alias("size"), lost.alias("lost")).groupBy("lang", "size", "lost").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("thesaurus_gap", """WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM benchmark), w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{4,}'))) AS term FROM documents WHERE lang = 'en')
+SELECT w.term, count(*) AS n FROM w LEFT JOIN t ON w.term = t.term WHERE t.term IS NULL GROUP BY w.term HAVING count(*) >= 3""")
+def thesaurus_gap(spark, sf_dir):
+    """Terms of the documents that a thesaurus lacks, with the documents that use each."""
+    terms = lambda rows: rows.select("*", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0))).alias("term"))
+    used = terms(views.table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "text")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    return used.join(terms(views.table(spark, sf_dir, "benchmark").select("text")).select("term").distinct(), "term", "left_anti")
+
+
 @query("empty_articles", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 g AS (SELECT doc_id, i, length(line) < 30 AS heading, lead(length(line) < 30) OVER (PARTITION BY doc_id ORDER BY i) AS next_heading FROM l)
 SELECT doc_id, count(*) FILTER (WHERE heading) AS articles, count(*) FILTER (WHERE heading AND coalesce(next_heading, true)) AS empty FROM g GROUP BY doc_id""")

@@ -124,6 +124,18 @@ def command_rewrite(spark, sf_dir):
     return work.events().select("n", F.regexp_extract("subject", r"^(\[\w+\])", 1).alias("head"))
 
 
+@query("command_revised", f"""WITH {_EVENTS} SELECT norm, src, CAST(day AS VARCHAR) AS day FROM e UNION ALL SELECT norm, 'revised-' || src, CAST(day AS VARCHAR) FROM e WHERE CAST(norm AS BIGINT) % 5 = 0""")
+def command_revised(spark, sf_dir):
+    """A second source for a fifth of the norms, and for some that are not here; a second pass adds nothing."""
+    work, docs = _workspace(spark, "revised"), documents(spark, sf_dir, SOURCE)
+    work.bootstrap(docs, "2024-01-01")
+    second = docs.where("CAST(norm AS BIGINT) % 5 = 0").unionAll(docs.where("CAST(norm AS BIGINT) < 9").withColumn("norm", F.concat(F.lit("x"), "norm")))
+    work.revised(second, SOURCE)
+    if work.revised(second, SOURCE):
+        raise AssertionError("a second pass wrote events")
+    return work.events().select("norm", "src", iso("day").alias("day"))
+
+
 @query("command_meta", "SELECT 'first' AS run, 'README.md' AS name UNION ALL SELECT 'first', 'coverage.json' UNION ALL SELECT 'first', 'manifest.json' UNION ALL SELECT 'third', 'README.md' UNION ALL SELECT 'third', 'coverage.json'")
 def command_meta(spark, sf_dir):
     """What is written about a workspace: everything at first, nothing while nothing changes, then what did."""

@@ -194,6 +194,21 @@ class Workspace:
         self.fetch(source, day, force=fresh)
         return self.commit(fresh=fresh).count()
 
+    def revised(self, source: DataFrame, other: str) -> int:
+        """Add what a second source says of norms that are here: its versions count beside the first ones.
+
+        ``source`` (norm, content) is read by the layout ``other``; its versions carry "revised-" before the
+        name of what brings them, so their events are told apart, and a second pass adds none.  The events
+        written.
+        """
+        rows = layouts.read(source, LAYOUTS[other]).where("unit IS NOT NULL").join(self.documents().select("norm"), "norm", "left_semi")
+        rows = rows.withColumn("src", F.concat(F.lit("revised-"), F.coalesce("src", "norm"))).withColumn("pos", F.col("pos") + 1_000_000).withColumn("bucket", bucket())
+        rows = materialise(rows, "revised")
+        keys = rows.select("norm", "bucket").distinct()
+        own = self.units().join(keys.select("norm"), "norm", "left_semi").where(~F.coalesce(F.startswith("src", F.lit("revised-")), F.lit(False)))
+        self._replace("units", UNITS, self._merged(self.units(), own.unionByName(rows.select(own.columns)), keys))
+        return self.commit().count()
+
     def reprocess(self, keys: list[str]) -> int:
         """Parse the documents of some keys again, and write their events anew where they differ."""
         named = self.documents().where(F.col("norm").isin(keys))

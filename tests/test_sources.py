@@ -309,3 +309,25 @@ def test_tables_in_tables_and_cells():
     flat, nested = markup.grids_of(html, cell=str.upper)
     assert flat.startswith("Cap\n\n") and "| A | B |" in flat
     assert nested == "<table><tr><td><table><tr><td><a>in</a>u</td></tr></table></td></tr></table>"
+
+
+def test_long_runs_go_on_where_they_stopped(spark, tmp_path):
+    from lexloom.orchestrate import Step, overnight
+
+    done, path = [], f"file://{tmp_path}/record"
+
+    def fails(times):
+        left = [times]
+
+        def do():
+            left[0] -= 1
+            if left[0] >= 0:
+                raise OSError("no")
+            done.append(times)
+        return do
+
+    steps = [Step("a", lambda: done.append("a")), Step("b", fails(1)), Step("c", fails(9), needed=False), Step("d", fails(9)), Step("e", lambda: done.append("e"))]
+    assert overnight(spark, path, "r", steps, lambda: 0, 1) == [("a", "done"), ("b", "done"), ("c", "failed"), ("d", "failed"), ("e", "skipped")]
+    steps[3] = Step("d", lambda: done.append("d"))
+    assert overnight(spark, path, "r", steps, lambda: 0, 1) == [("a", "before"), ("b", "before"), ("c", "failed"), ("d", "done"), ("e", "done")]
+    assert done == ["a", 1, "d", "e"] and overnight(spark, path, "s", steps[:1], lambda: 2, 1) == [("a", "late")]
