@@ -39,7 +39,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Letters below are letters to any version of Unicode; signs of one byte that are no quote and no space.
 LATIN, SIGNS = "\u0250", frozenset(".,;:!?)")
 #: Entries after which a worker empties a memo; results do not depend on it.
-MEMO = 250_000
+MEMO = 500_000
 _SHIFT = 24
 
 
@@ -214,7 +214,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.piece = Memo(self._piece, MEMO // 2)
+        self.piece = Memo(self._piece, MEMO // 8)
         #: By what follows the chunk's space.
         self.chunk = Memo(self._word, MEMO)
 

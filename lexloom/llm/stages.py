@@ -1,4 +1,11 @@
-"""Pipeline stages: (spark, docs, sf_dir) to a DataFrame; all but the last keep the columns of ``docs``."""
+"""Pipeline stages: (spark, docs, sf_dir) to a DataFrame; all but the last keep the columns of ``docs``.
+
+Defined results, for every stage: nulls in any column are allowed (a null text counts as empty; a null
+id is never another's; columns of ``docs`` named like those that an operator adds are kept as they were);
+texts of any length are taken whole; repeated rows are judged each, but the near-duplicate stage leaves
+one of them; ties go by id, then by a hash of the text; ids become long; an empty table gives an empty
+one.  The classifier and the rules judge rows alone, and a text that is empty fails the rules' base.
+"""
 
 from __future__ import annotations
 

@@ -64,15 +64,20 @@ class PrefixCounts:
         return int(self.chars[i]) + next(n for n in range(len(part) - 1, -1, -1) if part[n] <= left)
 
 
+def _small(counts: list[int]) -> bytes | list[int]:
+    """Counts of a byte each, as a memo of very many keeps them."""
+    return bytes(counts) if max(counts) < 256 else counts
+
+
 class Counter:
     """Prefix counts of texts, from memoised chunks and pieces."""
 
     def __init__(self, vocabulary: byte_bpe.Vocabulary):
         self.vocabulary = vocabulary
-        self.piece = byte_bpe.Memo(self._piece, byte_bpe.MEMO // 2)
+        self.piece = byte_bpe.Memo(lambda x: _small(self._piece(x)), byte_bpe.MEMO // 8)
         #: By what follows the chunk's space.
         self.chunk = byte_bpe.Memo(self._word, byte_bpe.MEMO)
-        self.first = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 16)
+        self.first = byte_bpe.Memo(self._whole, byte_bpe.MEMO // 32)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")") if vocabulary.specials else None
 
     def _piece(self, piece: str) -> list[int]:
@@ -83,18 +88,18 @@ class Counter:
             return counts
         return [0, *[counts[at + 1] for at in range(len(raw)) if at + 1 == len(raw) or raw[at + 1] & 0xC0 != 0x80]]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes | list[int]:
         """Counts of the prefixes of a space and what follows it, up to the next space.
 
         Letters are one piece; a sign behind them is another, of one token.
         """
         if word.isalpha() and max(word) < byte_bpe.LATIN:
-            return self._piece(" " + word)
+            return _small(self._piece(" " + word))
         head = word[:-1]
         if head.isalpha() and word[-1] in byte_bpe.SIGNS and max(head) < byte_bpe.LATIN:
             counts = self.chunk(head)
-            return [*counts, counts[-1] + 1]
-        return self._whole(" " + word)
+            return _small([*counts, counts[-1] + 1])
+        return _small(self._whole(" " + word))
 
     def _whole(self, chunk: str) -> list[int]:
         """Counts of the chunk's prefixes, each as if the text ended there.

@@ -79,6 +79,16 @@ def test_lines_by_hand(odd, clashing):
         assert got == want
 
 
+def test_lines_and_rules_over_many_shards(odd, monkeypatch):
+    monkeypatch.setattr(index, "SHARD_KEYS", 2)
+    assert line_dedup.build_index(odd).shards > 1 and quality_rules.frequent_lines(odd, min_docs=1).shards > 1
+    want = lines_by_hand([(r["doc_id"], r["text"]) for r in odd.collect()])
+    assert Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in line_dedup.dedup_lines(odd).collect()) == want
+    rules = rules_by_hand([(r["doc_id"], r["source"], r["text"]) for r in odd.collect()], 0.1, 1, 0.05)
+    names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed removed_lines removed_words kept".split()
+    assert Counter(tuple(r[n] for n in names) for r in quality_rules.judged(odd, share=0.1, min_docs=1, depleted=0.05).collect()) == rules
+
+
 def test_lines_keep_other_columns(clashing):
     out = line_dedup.dedup_lines(clashing)
     assert {"lang", "source", "kept", "score"} <= set(out.columns) and len(set(out.columns)) == len(out.columns)
