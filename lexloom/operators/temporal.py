@@ -80,14 +80,20 @@ def events_of(versions: DataFrame) -> DataFrame:
 def history(versions: DataFrame) -> DataFrame:
     """norm, seq, day, n_blocks, content: every document as it stood at each of its events.
 
-    Spans instead of a comparison of all events with all versions: a version joins the events that
-    fall into its span only, and the norm is the equality key that co-locates both.
+    A version is in force from the event that brings it to the one before its successor's, so it is
+    listed under the numbers of those events; no event is compared with any version.  Versions and
+    events meet in partitions of the norm, dealt out once.
     """
-    spans = intervals(versions).select("norm", "block", "txt", "qty", "starts", "ends")
-    at = events_of(versions).join(spans, "norm").where("starts <= day AND (ends IS NULL OR day < ends)")
+    own = Window.partitionBy("norm").orderBy(in_force())
+    numbered = versions.select("norm", "block", "txt", "qty", "pub", "src", in_force().alias("day"), F.dense_rank().over(own).cast("bigint").alias("seq"))
+    numbered = numbered.withColumn("last", F.max("seq").over(Window.partitionBy("norm")))
+    chain = Window.partitionBy(*KEY).orderBy("seq", "pub", F.desc("src"))
+    spans = numbered.withColumn("next", F.lead("seq").over(chain)).where("next IS NULL OR next > seq")
+    at = spans.select("norm", "block", "txt", "qty", F.explode(F.sequence("seq", F.coalesce("next", F.col("last") + 1) - 1)).alias("seq"))
     parts = F.array_sort(F.collect_list(F.struct("block", "txt", "qty")))
     text = F.array_join(F.transform(parts, lambda x: F.concat_ws(":", x["block"], x["txt"], x["qty"])), "\n")
-    return at.groupBy("norm", "seq", "day").agg(F.count(F.lit(1)).alias("n_blocks"), F.md5(text).alias("content"))
+    states = at.groupBy("norm", "seq").agg(F.count(F.lit(1)).alias("n_blocks"), F.md5(text).alias("content"))
+    return states.join(events_of(versions), ["norm", "seq"]).select("norm", "seq", "day", "n_blocks", "content")
 
 
 def timeline(versions: DataFrame, *by: str) -> DataFrame:
