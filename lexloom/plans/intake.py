@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from datetime import date, timedelta
+from functools import partial
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
 from lexloom import views
 from lexloom.plans.catalogue import query
-from lexloom.session import importable
-from lexloom.sources import http, paging, pdf, streams
+from lexloom.session import importable, scratch
+from lexloom.sources import connector, http, paging, pdf, streams
 
 _TOTAL, _SIZE = 3000, 70
 _SINCE = date(2020, 1, 1)
@@ -113,3 +116,26 @@ def pdf_lines(spark, sf_dir):
     row = F.round(F.col("y") / 4).alias("row")
     lines = words.groupBy("id", "page", row).agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("x", "text"))).alias("words"))
     return lines.select("id", "page", "size", F.array_join(F.transform("words", lambda w: w["text"]), " ").alias("line"))
+
+
+def _store(path: str, batches) -> Iterator[pa.RecordBatch]:
+    fs, root = pafs.LocalFileSystem() if path.startswith("file:") or "://" not in path else pafs.FileSystem.from_uri(path)[0], re.sub(r"^file:/+", "/", path)
+    for batch in batches:
+        for key, name in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            fs.create_dir(f"{root}/n{key}", recursive=True)
+            for day, text in (("2001-01-01", f"{name} as enacted"), ("2005-06-01", f"{name} as amended")):
+                with fs.open_output_stream(f"{root}/n{key}/{day}.txt") as out:
+                    out.write(text.encode())
+        yield pa.RecordBatch.from_pydict({"key": batch.column(0)})
+
+
+@query("connector_documents", "SELECT 'n' || n_nationkey AS norm, n_name || ' as enacted' AS before, n_name || ' as amended' AS now, CASE WHEN n_nationkey IN (3, 7) THEN n_name || ' as amended' END AS picked FROM nation")
+def connector_documents(spark, sf_dir):
+    """Texts by key from a folder of versions: as they stood on a day, as they are now, and of two keys alone."""
+    connector.register(spark)
+    path = scratch(spark, "folder")
+    views.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long"), "n_name").mapInArrow(partial(_store, path), "key long").count()
+    load = lambda **how: spark.read.format("documents").options(path=path, keyspertask=4, **how).load().select("norm", F.decode("content", "UTF-8").alias("text"))
+    then, now = load(asof="2003-01-01").withColumnRenamed("text", "before"), load().withColumnRenamed("text", "now")
+    picked = load(day="2005-06-01").where("norm IN ('n3', 'n7')").withColumnRenamed("text", "picked")
+    return then.join(now, "norm").join(picked, "norm", "left")

@@ -331,3 +331,54 @@ def test_long_runs_go_on_where_they_stopped(spark, tmp_path):
     steps[3] = Step("d", lambda: done.append("d"))
     assert overnight(spark, path, "r", steps, lambda: 0, 1) == [("a", "before"), ("b", "before"), ("c", "failed"), ("d", "done"), ("e", "done")]
     assert done == ["a", 1, "d", "e"] and overnight(spark, path, "s", steps[:1], lambda: 2, 1) == [("a", "late")]
+
+
+def test_folders_by_day(tmp_path):
+    from lexloom.sources import connector
+
+    (tmp_path / "a").mkdir()
+    for day in ("2001-01-01", "2005-01-01"):
+        (tmp_path / "a" / f"{day}.xml").write_text(day)
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "metadata.json").write_text('{"x": 1}')
+    with connector.connect({"path": str(tmp_path)}) as source:
+        assert list(source.discover_all()) == ["a", "b"] and list(source.discover_daily(date(2005, 1, 1))) == ["a"]
+        assert source.get_text("a") == b"2005-01-01" and source.get_metadata("b") == b'{"x": 1}' and json.loads(source.get_metadata("a"))["versions"] == ["2001-01-01", "2005-01-01"]
+        source.set_as_of(date(2003, 1, 1))
+        assert source.get_text("a") == b"2001-01-01"
+        source.set_as_of(date(2000, 1, 1))
+        for key in ("a", "b", "c"):
+            with pytest.raises(http.Refused):
+                source.get_text(key)
+
+
+def test_web_connector_and_refusals(tmp_path):
+    from lexloom.sources import connector
+
+    answers = {"http://x/all": b"a b\nc", "http://x/2024-01-02": b"b", "http://x/t/a/2003-01-01": b"old", "http://x/m/a": b"{}"}
+
+    def open_url(request, timeout):
+        if request.full_url in answers:
+            return _Answer(answers[request.full_url])
+        raise _error(410, b"gone")
+
+    options = {"connector": "web", "catalogue": "http://x/all", "daily": "http://x/{day}", "text": "http://x/t/{key}/{as_of}", "metadata": "http://x/m/{key}", "cache": str(tmp_path / "c"), "asof": "2003-01-01"}
+    source = connector.connect(options)
+    source.client = http.Client(rate=0, open_url=open_url)
+    assert list(source.discover_all()) == ["a", "b", "c"] and list(source.discover_daily(date(2024, 1, 2))) == ["b"] and source.get_text("a") == b"old" and source.get_metadata("a") == b"{}"
+    answers.clear()
+    assert source.get_text("a") == b"old"
+    with pytest.raises(http.Refused) as refused:
+        source.get_text("b")
+    assert not refused.value.transient
+
+
+def test_refused_documents_are_rows(spark, tmp_path):
+    from lexloom.sources import connector
+
+    connector.register(spark)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "2005-01-01.xml").write_text("x")
+    (tmp_path / "b").mkdir()
+    got = {r["norm"]: r for r in spark.read.format("documents").options(path=str(tmp_path)).load().collect()}
+    assert bytes(got["a"]["content"]) == b"x" and got["a"]["reason"] is None and got["b"]["content"] is None and got["b"]["status"] == 404
