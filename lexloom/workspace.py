@@ -138,9 +138,9 @@ class Workspace:
     def commit(self, dry_run: bool = False, fresh: bool = False, until: str | None = None, write: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
         """Append the events that the log lacks, in order of day, norm and source; those that would be, if ``dry_run``.
 
-        ``fresh`` begins the log anew.  Chunks are written one after the other; each is a file that is
-        renamed into the log when it is whole.  ``write`` is given each chunk and its number first, so
-        another log can follow this one.
+        ``fresh`` begins the log anew.  All chunks are written beside the log, a task each, and then renamed
+        into it in their order; a run that dies leaves a prefix, behind which the next one goes on.
+        ``write`` is given each chunk and its number first, so another log can follow this one.
         """
         from lexloom.plans.order import numbered
 
@@ -154,25 +154,32 @@ class Workspace:
         start = (have.agg(F.max("n")).first()[0] or 0)
         rows = materialise(numbered(new, "day", "norm", "src").withColumn("n", F.col("n") + start), "events")
         placed = rows.withColumn("chunk", F.expr(f"(n - 1) div {self.chunk_events}")).select(*[x.split()[0] for x in EVENTS.split(", ")])
-        if not dry_run:
-            for at in range(start // self.chunk_events, -(-(start + rows.count()) // self.chunk_events)):
-                chunk = placed.where(F.col("chunk") == at)
+        total = rows.count()
+        if total and not dry_run:
+            parts = f"_parts/{start}"
+            placed.repartition("chunk").sortWithinPartitions("chunk", "n").write.mode("overwrite").partitionBy("chunk").parquet(f"{self.path}/{parts}")
+            for at in range(start // self.chunk_events, -(-(start + total) // self.chunk_events)):
                 if write is not None:
-                    write(chunk, at)
-                self._append(chunk, at, start)
+                    write(placed.where(F.col("chunk") == at), at)
+                self._append(f"{parts}/chunk={at}", at, start)
             self._render(rows.select("norm").distinct())
         return placed
 
-    def _append(self, chunk: DataFrame, number: int, start: int) -> None:
-        fs, log = self._at("events")
-        whole = chunk.drop("chunk").sort("n")
-        name = f"chunk={number}"
-        part = f"{self.path}/_parts/{name}-{start}"
-        whole.coalesce(1).write.mode("overwrite").parquet(part)  # chunk_events rows
-        fs.mkdirs(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log, name))
-        for x in fs.listStatus(self._at(f"_parts/{name}-{start}")[1]):
+    def _append(self, part: str, number: int, start: int) -> None:
+        """Rename the file of a written chunk into the log."""
+        fs, chunk = self._at(f"events/chunk={number}")
+        fs.mkdirs(chunk)
+        for x in fs.listStatus(self._at(part)[1]):
             if x.getPath().getName().startswith("part-"):
-                fs.rename(x.getPath(), self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log, f"{name}/{start:012d}-{x.getPath().getName()}"))
+                fs.rename(x.getPath(), self._at(f"events/chunk={number}/{start:012d}-{x.getPath().getName()}")[1])
+
+    def _rewrite(self, number: int, rows: DataFrame) -> None:
+        """Put other rows in the place of a chunk; they are written whole before the old ones go."""
+        part = f"_parts/rewritten-{number}"
+        rows.repartition(1).sortWithinPartitions("n").write.mode("overwrite").parquet(f"{self.path}/{part}")  # chunk_events rows
+        fs, chunk = self._at(f"events/chunk={number}")
+        fs.delete(chunk, True)
+        fs.rename(self._at(part)[1], chunk)
 
     def _render(self, norms: DataFrame) -> None:
         """The files of norms as they stand after their last event; one that another act holds is refused."""
@@ -217,10 +224,7 @@ class Workspace:
         chunks = [r[0] for r in stale.select("chunk").distinct().collect()]  # chunks that hold events of the named keys
         gone = materialise(stale.select("n"), "stale")
         for at in chunks:
-            kept = materialise(self.events().where(F.col("chunk") == at).join(gone, "n", "left_anti").drop("chunk"), "chunk")
-            fs, folder = self._at(f"events/chunk={at}")
-            fs.delete(folder, True)
-            kept.coalesce(1).sort("n").write.parquet(f"{self.path}/events/chunk={at}")
+            self._rewrite(at, self.events().where(F.col("chunk") == at).join(gone, "n", "left_anti").drop("chunk"))
         return self.commit().count()
 
     def push(self, published: int = 0) -> DataFrame:
@@ -304,7 +308,5 @@ class Workspace:
         touched = rows.where("_new <> subject").select("chunk").distinct()
         numbers = [r[0] for r in touched.collect()]  # a number for each 25,000 events
         for at in numbers:
-            fs, folder = self._at(f"events/chunk={at}")
-            fs.delete(folder, True)
-            rows.where(F.col("chunk") == at).withColumn("subject", F.col("_new")).drop("_new", "chunk").coalesce(1).sort("n").write.parquet(f"{self.path}/events/chunk={at}")
+            self._rewrite(at, rows.where(F.col("chunk") == at).withColumn("subject", F.col("_new")).drop("_new", "chunk"))
         return rows.where("_new <> subject").count()
