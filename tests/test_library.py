@@ -146,11 +146,12 @@ def test_members_of_archives():
 
 
 def test_sink_takes_a_key_once(spark):
-    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k bigint, v string")
-    sink = daily.Sink(spark, batch.schema, ["k"], "test-sink")
+    batch = spark.createDataFrame([(1, date(2024, 1, 1), "a"), (1, date(2024, 1, 1), "a"), (1, date(2024, 1, 2), "b"), (2, date(2024, 1, 2), "c")], "k bigint, day date, v string")
+    sink = daily.Sink(spark, batch.schema, ["k", "day"], "test-sink", "day")
     sink.write(batch, 0)
-    sink.write(batch.unionByName(spark.createDataFrame([(3, "c")], "k bigint, v string")), 1)
-    assert sorted(r["k"] for r in sink.read().collect()) == [1, 2, 3]
+    sink.write(batch, 0)
+    sink.write(batch.withColumn("k", F.col("k") + 1), 1)
+    assert sorted((r["k"], r["day"].day) for r in sink.read().collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 2)]
 
 
 def test_report_keeps_its_day(spark):
