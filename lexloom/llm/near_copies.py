@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from lexloom.llm import simhash, store, text as tx
 from lexloom.llm.components import named_components
 from lexloom.llm.index import mapped
+from lexloom.llm.marks import Marks
 
 SHINGLE, SIMILARITY, CANDIDATE_RADIUS = 5, 0.8, 16
 #: Texts of a tile, and shingles of a tile unless one text has more.
@@ -282,8 +283,15 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     Among rows that repeat this id the smallest hash of the text decides, and of rows equal in
     both one stays.
     """
-    found = _components(docs, shingle, similarity, radius, id_col, text_col)
+    found = store.materialise(_components(docs, shingle, similarity, radius, id_col, text_col), "near-found")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     picked = found.groupBy("root").agg(F.min(place).alias("first")).select(F.coalesce("first.doc_id", F.lit(tx.NO_ID)).alias("_id"), F.col("first.text_hash").alias("_hash"))
+    picked = store.materialise(picked, "near-picked")
+    # Most rows stay, and they stay where they are read; those that may go move, and a join decides.
+    rows = found.groupBy(F.coalesce("doc_id", F.lit(tx.NO_ID)).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count(F.lit(1)).alias("times"))
+    single = rows.where("times = 1").join(picked, ["_id", "_hash"], "left_anti").select("_id", "_hash").unionByName(rows.where("times > 1").select("_id", "_hash"))
+    marked = Marks(single.select(F.xxhash64("_id", "_hash").alias("tag")), "tag")
     keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(tx.NO_ID)), "_hash": F.xxhash64(text_col)})
-    return keyed.join(picked, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(docs.columns)
+    tested = marked.tested(keyed.withColumn("_tag", F.xxhash64("_id", "_hash")), "_tag", "_marked")
+    moved = tested.where("_marked").join(picked, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return tested.where("NOT _marked").select(docs.columns).unionByName(moved.select(docs.columns))
