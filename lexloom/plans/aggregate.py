@@ -156,16 +156,17 @@ def defect_histogram(spark, sf_dir):
 
 
 _CONSTRUCTS = {"lines": r"\n", "numbers": "[0-9]+", "sentences": "[.] ", "quotes": '"'}
-_KEPT = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN replace(text, '. ', ' ') WHEN 2 THEN regexp_replace(text, '[0-9]+', '#'{g}) ELSE left(text, CAST(length(text) * 0.8 AS INT)) END"
+_KEPT = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN replace(text, '. ', ' ') WHEN 2 THEN regexp_replace(text, '[0-9]+', '#'{g}) ELSE left(text, CAST({left} AS INT)) END"
 
 
-@query("fidelity_report", f"""WITH d AS (SELECT doc_id, lang, text, {_KEPT.format(g=", 'g'")} AS shown FROM documents WHERE text <> ''),
+@query("fidelity_report", f"""WITH d AS (SELECT doc_id, lang, text, {_KEPT.format(g=", 'g'", left="length(text) * 0.8")} AS shown FROM documents WHERE text <> ''),
 s AS (SELECT lang, {", ".join(f"len(regexp_extract_all(text, '{p}')) AS {n}_a, len(regexp_extract_all(shown, '{p}')) AS {n}_b" for n, p in _CONSTRUCTS.items())}, length(shown) / length(text) AS kept FROM d),
 c AS (SELECT lang, concat_ws(',', {", ".join(f"CASE WHEN {n}_b < {n}_a THEN '{n}' END" for n in _CONSTRUCTS)}) AS lost, CASE WHEN kept >= 0.95 THEN 'whole' WHEN kept >= 0.7 THEN 'partial' ELSE 'poor' END AS size FROM s)
 SELECT lang, size, lost, count(*) AS n FROM c GROUP BY ALL""")
 def fidelity_report(spark, sf_dir):
     """What a rendering lost of its source: constructs by their counts, and the class of what is left."""
-    docs = views.table(spark, sf_dir, "documents").where("text <> ''").select("lang", "text", F.expr(_KEPT.format(g="")).alias("shown"))
+    whole = _KEPT.format(g="", left="round(length(text) * 0.8)")  # Spark's cast cuts the fraction off, DuckDB's rounds
+    docs = views.table(spark, sf_dir, "documents").where("text <> ''").select("lang", "text", F.expr(whole).alias("shown"))
     lost = F.concat_ws(",", *[F.when(F.regexp_count("shown", F.lit(p)) < F.regexp_count("text", F.lit(p)), n) for n, p in _CONSTRUCTS.items()])
     kept = F.length("shown") / F.length("text")
     size = F.when(kept >= 0.95, "whole").when(kept >= 0.7, "partial").otherwise("poor")
