@@ -37,7 +37,8 @@ def documents(spark, sf_dir: str, code: str):
         if "{" + mark + "}" in SAMPLES[code].text:
             text = F.replace(text, F.lit("{" + mark + "}"), F.expr(expression))
     latin = LAYOUTS[code].encoding in ("iso-8859-1", "windows-1252")
-    return views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("norm"), F.encode(text, "ISO-8859-1" if latin else "UTF-8").alias("content"))
+    part = views.table(spark, sf_dir, "part").repartition(4 * spark.sparkContext.defaultParallelism, "p_partkey")  # a small file whose documents are large: dealt to all cores before they are made
+    return part.select(F.col("p_partkey").cast("string").alias("norm"), F.encode(text, "ISO-8859-1" if latin else "UTF-8").alias("content"))
 
 
 def _sql(text: str | None) -> str:
