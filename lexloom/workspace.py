@@ -10,6 +10,7 @@ that is started again goes on behind the last whole one.  What is written alread
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -166,20 +167,26 @@ class Workspace:
         return placed
 
     def _append(self, part: str, number: int, start: int) -> None:
-        """Rename the file of a written chunk into the log."""
+        """Rename a written chunk into the log, or its file into the chunk that is there."""
         fs, chunk = self._at(f"events/chunk={number}")
-        fs.mkdirs(chunk)
+        if not fs.exists(chunk):
+            fs.mkdirs(chunk.getParent())
+            fs.rename(self._at(part)[1], chunk)
+            return
         for x in fs.listStatus(self._at(part)[1]):
             if x.getPath().getName().startswith("part-"):
                 fs.rename(x.getPath(), self._at(f"events/chunk={number}/{start:012d}-{x.getPath().getName()}")[1])
 
-    def _rewrite(self, number: int, rows: DataFrame) -> None:
-        """Put other rows in the place of a chunk; they are written whole before the old ones go."""
-        part = f"_parts/rewritten-{number}"
-        rows.repartition(1).sortWithinPartitions("n").write.mode("overwrite").parquet(f"{self.path}/{part}")  # chunk_events rows
-        fs, chunk = self._at(f"events/chunk={number}")
-        fs.delete(chunk, True)
-        fs.rename(self._at(part)[1], chunk)
+    def _rewrite(self, numbers: list[int], rows: DataFrame) -> None:
+        """Put other rows in the place of chunks; all are written whole, a task each, before the old ones go."""
+        part = f"_parts/rewritten-{uuid.uuid4().hex}"
+        rows.select(*[x.split()[0] for x in EVENTS.split(", ")]).repartition("chunk").sortWithinPartitions("chunk", "n").write.partitionBy("chunk").parquet(f"{self.path}/{part}")
+        for number in numbers:
+            fs, chunk = self._at(f"events/chunk={number}")
+            written = self._at(f"{part}/chunk={number}")[1]
+            fs.delete(chunk, True)
+            if fs.exists(written):  # no row may be left of a chunk
+                fs.rename(written, chunk)
 
     def _render(self, norms: DataFrame) -> None:
         """The files of norms as they stand after their last event; one that another act holds is refused."""
@@ -220,11 +227,11 @@ class Workspace:
         """Parse the documents of some keys again, and write their events anew where they differ."""
         named = self.documents().where(F.col("norm").isin(keys))
         self._parse(materialise(named, "reprocessed"))
-        stale = self.events().where(F.col("norm").isin(keys)).join(self.expected().select(*EVENT_KEY, "content"), [*EVENT_KEY, "content"], "left_anti")
+        stale = self.events().where(F.col("norm").isin(keys)).join(self.expected().where(F.col("norm").isin(keys)).select(*EVENT_KEY, "content"), [*EVENT_KEY, "content"], "left_anti")
         chunks = [r[0] for r in stale.select("chunk").distinct().collect()]  # chunks that hold events of the named keys
         gone = materialise(stale.select("n"), "stale")
-        for at in chunks:
-            self._rewrite(at, self.events().where(F.col("chunk") == at).join(gone, "n", "left_anti").drop("chunk"))
+        if chunks:
+            self._rewrite(chunks, self.events().where(F.col("chunk").isin(chunks)).join(gone, "n", "left_anti"))
         return self.commit().count()
 
     def push(self, published: int = 0) -> DataFrame:
@@ -307,6 +314,6 @@ class Workspace:
         rows = materialise(self.events().withColumn("_new", change(F.col("subject"))), "messages")
         touched = rows.where("_new <> subject").select("chunk").distinct()
         numbers = [r[0] for r in touched.collect()]  # a number for each 25,000 events
-        for at in numbers:
-            self._rewrite(at, rows.where(F.col("chunk") == at).withColumn("subject", F.col("_new")).drop("_new", "chunk"))
+        if numbers:
+            self._rewrite(numbers, rows.join(touched, "chunk", "left_semi").withColumn("subject", F.col("_new")))
         return rows.where("_new <> subject").count()
