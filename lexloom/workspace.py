@@ -1,10 +1,11 @@
 """A history kept in a folder: documents as fetched, their unit versions, the event log, files, ledgers.
 
 Each command reads and writes tables of the folder.  Documents and units are partitioned by a bucket of
-their key, so a command on named keys rewrites the buckets that hold them and leaves the others alone.
-Events are appended in chunks in the order of the log; a chunk appears as a whole or not at all, and a run
-that is started again goes on behind the last whole one.  What is written already is known by its keys
-(norm, source, day), counted, so no command repeats an event.
+their key, so a command on named keys reads and rewrites the buckets that hold them and leaves the others
+alone.  Events are appended in chunks in the order of the log; a chunk appears as a whole or not at all, and
+a run that is started again goes on behind the last whole one.  Small chunks share a file, so a log has as
+many files as its events need, whatever the size of a chunk.  What is written already is known by its keys
+(norm, source, day), so no command repeats an event.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lexloom.operators import health, reconcile
+from lexloom.operators import health
 from lexloom.session import materialise
 from lexloom.sources import layouts
 from lexloom.sources.layout_table import LAYOUTS
@@ -24,10 +25,13 @@ from lexloom.sources.layouts import Layout
 from lexloom.sources.ledger import Failures, coverage
 
 BUCKETS = 64
+#: Events of a segment of the log: as many whole chunks as make about this many, one at least.
+SEGMENT_EVENTS = 100_000
 DOCUMENTS = "norm string, content binary, fetched date, bucket int"
 UNITS = layouts.ROWS + ", bucket int"
 EVENTS = "n long, norm string, src string, day date, kind string, subject string, units string, content string, chunk long"
 FILES = "norm string, path string, text string, published date, bucket int"
+EVENT_COLUMNS = [x.split()[0] for x in EVENTS.split(", ")]
 EVENT_KEY = ["norm", "src", "day"]
 EPOCH = "1970-01-02"
 
@@ -52,9 +56,12 @@ class Workspace:
         at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
 
-    def _table(self, name: str, schema: str) -> DataFrame:
+    def _has(self, name: str) -> bool:
         fs, at = self._at(name)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if fs.exists(at) else self.spark.createDataFrame([], schema)
+        return fs.exists(at)
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if self._has(name) else self.spark.createDataFrame([], schema)
 
     def documents(self) -> DataFrame:
         return self._table("documents", DOCUMENTS)
@@ -63,7 +70,11 @@ class Workspace:
         return self._table("units", UNITS)
 
     def events(self) -> DataFrame:
-        return self._table("events", EVENTS)
+        return self._log().drop("segment")
+
+    def _log(self) -> DataFrame:
+        """The events, each with the folder that holds its chunk."""
+        return self._table("events", f"{EVENTS}, segment long")
 
     def files(self) -> DataFrame:
         return self._table("files", FILES)
@@ -73,16 +84,19 @@ class Workspace:
         return Failures(self.spark, f"{self.path}/failures")
 
     def _replace(self, name: str, schema: str, rows: DataFrame) -> None:
-        """Rows of whole buckets take the place of what those buckets held."""
+        """Rows of whole buckets take the place of what those buckets held; they may be read from there, as all are written before the old ones go."""
         names = [x.split()[0] for x in schema.split(", ")]
-        kept = materialise(rows.select(names), f"workspace-{name}")
-        kept.repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}")
+        rows.select(names).repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}")
+
+    def _touched(self, name: str, schema: str, keys: DataFrame) -> DataFrame:
+        """The rows of a table in the buckets of ``keys``; the others are not read."""
+        return self._table(name, schema).where(F.col("bucket").isin([r[0] for r in keys.select("bucket").distinct().collect()]))  # BUCKETS rows at most
 
-    def _merged(self, old: DataFrame, new: DataFrame, keys: DataFrame) -> DataFrame:
-        """The touched buckets: rows of ``old`` without ``keys``, and ``new``; those of ``old`` first where a bucket is left empty."""
-        touched = F.broadcast(keys.select("bucket").distinct())  # BUCKETS rows at most
-        rest = old.join(touched, "bucket", "left_semi").join(keys.select("norm"), "norm", "left_anti")
-        return rest.unionByName(new, allowMissingColumns=True)
+    def _merged(self, name: str, schema: str, new: DataFrame, keys: DataFrame) -> DataFrame:
+        """The touched buckets of a table: its rows without ``keys``, and ``new``; the old ones first where a bucket is left empty."""
+        if not self._has(name):
+            return new
+        return self._touched(name, schema, keys).join(keys.select("norm"), "norm", "left_anti").unionByName(new, allowMissingColumns=True)
 
     # Commands.
 
@@ -92,15 +106,15 @@ class Workspace:
         Keys that are there stay unless ``force``; ``keys``, or a slice of the keys in their order, narrow the
         work.  Failures go to the ledger, successes clear it.  The number of documents taken.
         """
-        wanted = source.select("norm").distinct()
+        wanted = source.where("norm IS NOT NULL")
         if keys is not None:
             wanted = wanted.where(F.col("norm").isin(keys))
         if offset or limit is not None:
-            wanted = wanted.orderBy("norm").offset(offset)
-            wanted = wanted if limit is None else wanted.limit(limit)
-        if not force:
+            part = wanted.select("norm").distinct().orderBy("norm").offset(offset)
+            wanted = wanted.join(part if limit is None else part.limit(limit), "norm", "left_semi")
+        if not force and self._has("documents"):
             wanted = wanted.join(self.documents().select("norm"), "norm", "left_anti")
-        got = materialise(source.join(wanted, "norm", "left_semi"), "fetched")
+        got = materialise(wanted, "fetched")
         failed = got.where("content IS NULL")
         if not failed.isEmpty():
             reason = F.col("reason") if "reason" in got.columns else F.lit("no content")
@@ -109,23 +123,30 @@ class Workspace:
         new = got.where("content IS NOT NULL").select("norm", F.col("content").cast("binary").alias("content"), F.lit(day).cast("date").alias("fetched"), bucket().alias("bucket"))
         taken = new.count()
         if taken:
-            self._replace("documents", DOCUMENTS, self._merged(self.documents(), new, new.select("norm", "bucket")))
-            self.failures.clear(new.select(F.col("norm").alias("key")), day)
+            self._replace("documents", DOCUMENTS, self._merged("documents", DOCUMENTS, new, new.select("norm", "bucket")))
+            if self._has("failures"):
+                self.failures.clear(new.select(F.col("norm").alias("key")), day)
             self._parse(new)
         return taken
 
     def _parse(self, docs: DataFrame) -> None:
         rows = layouts.read(docs, self.layout).withColumn("bucket", bucket())
         keys = docs.select("norm", "bucket").distinct()
-        self._replace("units", UNITS, self._merged(self.units(), rows, keys))
+        self._replace("units", UNITS, self._merged("units", UNITS, rows, keys))
 
-    def expected(self) -> DataFrame:
-        """The events that the units tell: one for each norm, source and day, in the order of the log.
+    def _named(self, keys: list[str]):
+        """The condition that a row of a table in buckets belongs to one of some keys; it names their buckets too."""
+        at = self.spark.createDataFrame([(x,) for x in keys], "norm string").select(bucket().alias("bucket")).distinct().collect()
+        return F.col("bucket").isin([r[0] for r in at]) & F.col("norm").isin(keys)
+
+    def expected(self, keys: list[str] | None = None) -> DataFrame:
+        """The events that the units (of some keys) tell: one for each norm, source and day, in the order of the log.
 
         The first event of a norm is its bootstrap.  Its day is when it takes effect, not before the second
         day of 1970; ``content`` is a digest of the units that the event changes.
         """
-        rows = self.units().where("unit IS NOT NULL AND eff IS NOT NULL")
+        rows = self.units() if keys is None else self.units().where(self._named(keys))
+        rows = rows.where("unit IS NOT NULL AND eff IS NOT NULL").repartition("norm")  # serves the events and their order in a norm
         listed = F.array_sort(F.collect_list(F.struct("unit", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"))))
         day = F.greatest(F.to_date("eff"), F.lit(EPOCH).cast("date"))
         found = rows.groupBy("norm", F.coalesce("src", "norm").alias("src"), day.alias("day")).agg(listed.alias("changed"))
@@ -136,72 +157,88 @@ class Workspace:
         content = F.md5(F.array_join(F.transform("changed", lambda x: F.concat_ws("=", x["unit"], x["digest"])), ";").cast("binary"))
         return found.select("norm", "src", "day", kind.alias("kind"), subject.alias("subject"), F.array_join(names, ",").alias("units"), content.alias("content"))
 
-    def commit(self, dry_run: bool = False, fresh: bool = False, until: str | None = None, write: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
+    def commit(self, dry_run: bool = False, fresh: bool = False, until: str | None = None, write: Callable[[DataFrame, int], None] | None = None, keys: list[str] | None = None) -> DataFrame:
         """Append the events that the log lacks, in order of day, norm and source; those that would be, if ``dry_run``.
 
-        ``fresh`` begins the log anew.  All chunks are written beside the log, a task each, and then renamed
-        into it in their order; a run that dies leaves a prefix, behind which the next one goes on.
-        ``write`` is given each chunk and its number first, so another log can follow this one.
+        ``fresh`` begins the log anew; ``keys`` narrows the work to the events of some norms.  All chunks are
+        written beside the log and then renamed into it in their order, a segment of whole chunks at a time; a
+        run that dies leaves a prefix, behind which the next one goes on.  ``write`` is given each chunk and its
+        number first, so another log can follow this one; the chunks are then renamed one by one.
         """
         from lexloom.plans.order import numbered
 
         fs, log = self._at("events")
         if fresh and not dry_run:
             fs.delete(log, True)
-        have = self.spark.createDataFrame([], EVENTS) if fresh else self.events()
-        new = reconcile.multiset_new(self.expected(), have, EVENT_KEY, ["content"])
+        new, start = self.expected(keys), 0
+        if not fresh and self._has("events"):
+            have = self.events()
+            start = have.agg(F.max("n")).first()[0] or 0
+            have = have if keys is None else have.where(F.col("norm").isin(keys))
+            new = new.join(have.select(*EVENT_KEY), EVENT_KEY, "left_anti")  # a key is expected once
         if until is not None:
             new = new.where(F.col("day") <= F.lit(until).cast("date"))
-        start = (have.agg(F.max("n")).first()[0] or 0)
-        rows = materialise(numbered(new, "day", "norm", "src").withColumn("n", F.col("n") + start), "events")
-        placed = rows.withColumn("chunk", F.expr(f"(n - 1) div {self.chunk_events}")).select(*[x.split()[0] for x in EVENTS.split(", ")])
-        total = rows.count()
-        if total and not dry_run:
-            parts = f"_parts/{start}"
-            placed.repartition("chunk").sortWithinPartitions("chunk", "n").write.mode("overwrite").partitionBy("chunk").parquet(f"{self.path}/{parts}")
-            for at in range(start // self.chunk_events, -(-(start + total) // self.chunk_events)):
-                if write is not None:
-                    write(placed.where(F.col("chunk") == at), at)
-                self._append(f"{parts}/chunk={at}", at, start)
-            self._render(rows.select("norm").distinct())
-        return placed
-
-    def _append(self, part: str, number: int, start: int) -> None:
-        """Rename a written chunk into the log, or its file into the chunk that is there."""
-        fs, chunk = self._at(f"events/chunk={number}")
-        if not fs.exists(chunk):
-            fs.mkdirs(chunk.getParent())
-            fs.rename(self._at(part)[1], chunk)
-            return
-        for x in fs.listStatus(self._at(part)[1]):
-            if x.getPath().getName().startswith("part-"):
-                fs.rename(x.getPath(), self._at(f"events/chunk={number}/{start:012d}-{x.getPath().getName()}")[1])
+        chunk = F.expr(f"(n - 1) div {self.chunk_events}")
+        rows = numbered(new, "day", "norm", "src").withColumn("n", F.col("n") + start).withColumn("chunk", chunk).select(*EVENT_COLUMNS)
+        if dry_run:
+            return materialise(rows, "events")
+        parts, each = f"_parts/{start}", 1 if write is not None else self._segment_chunks
+        placed = rows.withColumn("part", F.expr(f"chunk div {each}"))
+        placed.repartition("part").sortWithinPartitions("part", "n").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{parts}")
+        written = self.spark.read.schema(EVENTS).parquet(f"{self.path}/{parts}")
+        total = written.count()
+        for at in range(start // self.chunk_events // each, -(-(start + total) // (self.chunk_events * each))) if total else ():
+            if write is not None:
+                write(self.spark.read.schema(EVENTS).parquet(f"{self.path}/{parts}/part={at}"), at)
+            self._append(f"{parts}/part={at}", at * each // self._segment_chunks, f"{at:012d}-{start:012d}")
+        appended = self.events().where(F.col("n").between(start + 1, start + total))
+        if total:
+            self._render(appended.select("norm").distinct())
+        return appended
+
+    @property
+    def _segment_chunks(self) -> int:
+        return max(1, SEGMENT_EVENTS // self.chunk_events)
+
+    def _append(self, part: str, number: int, name: str) -> None:
+        """Rename a written part into the log, or its file into the segment that is there."""
+        fs, segment = self._at(f"events/segment={number}")
+        if not fs.exists(segment):
+            fs.mkdirs(segment.getParent())
+            moves = [(self._at(part)[1], segment)]
+        else:
+            files = [x.getPath() for x in fs.listStatus(self._at(part)[1])]
+            moves = [(x, self._at(f"events/segment={number}/{name}-{x.getName()}")[1]) for x in files if x.getName().startswith("part-")]
+        for old, new in moves:
+            if not fs.rename(old, new):
+                raise OSError(f"not renamed: {old}")
 
     def _rewrite(self, numbers: list[int], rows: DataFrame) -> None:
-        """Put other rows in the place of chunks; all are written whole, a task each, before the old ones go."""
+        """Put other rows (with their segment) in the place of segments; all are written whole, a task each, before the old ones go."""
         part = f"_parts/rewritten-{uuid.uuid4().hex}"
-        rows.select(*[x.split()[0] for x in EVENTS.split(", ")]).repartition("chunk").sortWithinPartitions("chunk", "n").write.partitionBy("chunk").parquet(f"{self.path}/{part}")
+        rows.select(*EVENT_COLUMNS, "segment").repartition("segment").sortWithinPartitions("segment", "n").write.partitionBy("segment").parquet(f"{self.path}/{part}")
         for number in numbers:
-            fs, chunk = self._at(f"events/chunk={number}")
-            written = self._at(f"{part}/chunk={number}")[1]
-            fs.delete(chunk, True)
-            if fs.exists(written):  # no row may be left of a chunk
-                fs.rename(written, chunk)
+            fs, segment = self._at(f"events/segment={number}")
+            written = self._at(f"{part}/segment={number}")[1]
+            fs.delete(segment, True)
+            if fs.exists(written):  # no row may be left of a segment
+                fs.rename(written, segment)
 
     def _render(self, norms: DataFrame) -> None:
         """The files of norms as they stand after their last event; one that another act holds is refused."""
         keyed = materialise(norms.withColumn("bucket", bucket()), "rendered")
-        rows = self.units().join(keyed.select("norm"), "norm", "left_semi").where("unit IS NOT NULL")
+        rows = self._touched("units", UNITS, keyed).where("unit IS NOT NULL").repartition("norm").join(keyed.select("norm"), "norm", "left_semi")
         newest = rows.groupBy("norm", "unit").agg(F.max_by(F.struct("kind", "heading", "text"), F.struct(F.col("eff"), F.col("pos"))).alias("v"), F.max(F.coalesce("text", F.lit("")) != "").alias("had_text"), F.min("pos").alias("place"), F.min("title").alias("title"), F.min(F.to_date(F.coalesce("published", "pub"))).alias("published"))
         shown = newest.where("v.text <> '' OR NOT had_text")  # an ended unit goes, a mere heading stays
         blocks = F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda x: F.concat_ws("\n\n", F.when(x["v"]["heading"] != "", F.concat(F.lit("## "), x["v"]["heading"])), F.when(x["v"]["text"] != "", x["v"]["text"])))
         text = F.concat(F.lit("# "), F.coalesce(F.min("title"), F.col("norm")), F.lit("\n\n"), F.array_join(blocks, "\n\n"), F.lit("\n"))
         path = F.concat(F.lit(f"{self.code}/"), F.regexp_replace("norm", "[:/ ]", "-"), F.lit(".md"))
         files = shown.groupBy("norm").agg(text.alias("text"), F.min("published").alias("published")).select("norm", path.alias("path"), "text", "published", bucket().alias("bucket"))
-        held = self.files().select("norm", F.col("published").alias("_held"))
-        allowed = files.join(held, "norm", "left").where("_held IS NULL OR published IS NULL OR _held = published").drop("_held")
-        allowed = materialise(allowed, "files")
-        self._replace("files", FILES, self._merged(self.files(), allowed, allowed.select("norm", "bucket")))
+        if self._has("files"):
+            held = self._touched("files", FILES, keyed).select("norm", F.col("published").alias("_held"))
+            files = files.join(held, "norm", "left").where("_held IS NULL OR published IS NULL OR _held = published").drop("_held")
+        allowed = materialise(files, "files")
+        self._replace("files", FILES, self._merged("files", FILES, allowed, allowed.select("norm", "bucket")))
 
     def bootstrap(self, source: DataFrame, day: str, fresh: bool = False) -> int:
         """Fetch what is missing (everything, if ``fresh``) and commit it; the events written."""
@@ -219,20 +256,21 @@ class Workspace:
         rows = rows.withColumn("src", F.concat(F.lit("revised-"), F.coalesce("src", "norm"))).withColumn("pos", F.col("pos") + 1_000_000).withColumn("bucket", bucket())
         rows = materialise(rows, "revised")
         keys = rows.select("norm", "bucket").distinct()
-        own = self.units().join(keys.select("norm"), "norm", "left_semi").where(~F.coalesce(F.startswith("src", F.lit("revised-")), F.lit(False)))
-        self._replace("units", UNITS, self._merged(self.units(), own.unionByName(rows.select(own.columns)), keys))
+        units, ours = self._touched("units", UNITS, keys), F.coalesce(F.startswith("src", F.lit("revised-")), F.lit(False))
+        kept = units.where(~ours).unionByName(units.where(ours).join(keys.select("norm"), "norm", "left_anti"))
+        self._replace("units", UNITS, kept.unionByName(rows.select(kept.columns)))
         return self.commit().count()
 
     def reprocess(self, keys: list[str]) -> int:
-        """Parse the documents of some keys again, and write their events anew where they differ."""
-        named = self.documents().where(F.col("norm").isin(keys))
-        self._parse(materialise(named, "reprocessed"))
-        stale = self.events().where(F.col("norm").isin(keys)).join(self.expected().where(F.col("norm").isin(keys)).select(*EVENT_KEY, "content"), [*EVENT_KEY, "content"], "left_anti")
-        chunks = [r[0] for r in stale.select("chunk").distinct().collect()]  # chunks that hold events of the named keys
-        gone = materialise(stale.select("n"), "stale")
-        if chunks:
-            self._rewrite(chunks, self.events().where(F.col("chunk").isin(chunks)).join(gone, "n", "left_anti"))
-        return self.commit().count()
+        """Parse the documents of some keys again, and write their events anew where they differ; other keys are left alone."""
+        self._parse(materialise(self.documents().where(self._named(keys)), "reprocessed"))
+        own = self._log().where(F.col("norm").isin(keys))
+        stale = own.join(self.expected(keys).select(*EVENT_KEY, "content"), [*EVENT_KEY, "content"], "left_anti")
+        gone = materialise(stale.select("n", "segment"), "stale")
+        segments = [r[0] for r in gone.select("segment").distinct().collect()]  # those that hold events of the named keys
+        if segments:
+            self._rewrite(segments, self._log().where(F.col("segment").isin(segments)).join(gone.select("n"), "n", "left_anti"))
+        return self.commit(keys=keys).count()
 
     def push(self, published: int = 0) -> DataFrame:
         """(n): the events after which the log is pushed, every slice and the last; those done already are left out."""
@@ -311,9 +349,8 @@ class Workspace:
 
     def rewrite_messages(self, change) -> int:
         """Give every event's subject another wording (a column of the old one); the events whose subject changed."""
-        rows = materialise(self.events().withColumn("_new", change(F.col("subject"))), "messages")
-        touched = rows.where("_new <> subject").select("chunk").distinct()
-        numbers = [r[0] for r in touched.collect()]  # a number for each 25,000 events
+        rows = materialise(self._log().withColumn("_new", change(F.col("subject"))), "messages")
+        numbers = [r[0] for r in rows.where("_new <> subject").select("segment").distinct().collect()]  # a number for each 100,000 events
         if numbers:
-            self._rewrite(numbers, rows.join(touched, "chunk", "left_semi").withColumn("subject", F.col("_new")))
+            self._rewrite(numbers, rows.where(F.col("segment").isin(numbers)).withColumn("subject", F.col("_new")))
         return rows.where("_new <> subject").count()
