@@ -227,7 +227,7 @@ class Workspace:
     def _render(self, norms: DataFrame) -> None:
         """The files of norms as they stand after their last event; one that another act holds is refused."""
         keyed = materialise(norms.withColumn("bucket", bucket()), "rendered")
-        rows = self._touched("units", UNITS, keyed).where("unit IS NOT NULL").repartition("norm").join(keyed.select("norm"), "norm", "left_semi")
+        rows = self._touched("units", UNITS, keyed).where("unit IS NOT NULL").join(keyed.select("norm"), "norm", "left_semi")
         newest = rows.groupBy("norm", "unit").agg(F.max_by(F.struct("kind", "heading", "text"), F.struct(F.col("eff"), F.col("pos"))).alias("v"), F.max(F.coalesce("text", F.lit("")) != "").alias("had_text"), F.min("pos").alias("place"), F.min("title").alias("title"), F.min(F.to_date(F.coalesce("published", "pub"))).alias("published"))
         shown = newest.where("v.text <> '' OR NOT had_text")  # an ended unit goes, a mere heading stays
         blocks = F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda x: F.concat_ws("\n\n", F.when(x["v"]["heading"] != "", F.concat(F.lit("## "), x["v"]["heading"])), F.when(x["v"]["text"] != "", x["v"]["text"])))

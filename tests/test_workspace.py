@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.plans.layouts import documents
+from lexloom.sources import layouts
+from lexloom.sources.layout_table import LAYOUTS
 from lexloom.workspace import Workspace
 
 SMALL = "/root/testdata/sf0.001"
@@ -71,3 +73,17 @@ def test_what_a_second_source_says_is_replaced_and_kept_apart(spark, work):
     units = work.units().withColumn("_second", F.startswith("src", F.lit("revised-")))
     assert sorted(map(tuple, units.where("NOT _second").drop("_second").collect())) == own
     assert {r["norm"]: r["count"] for r in units.where("_second").groupBy("norm").count().collect()} == dict.fromkeys("0123", 5)
+
+
+def test_days_that_come_again_are_kept():
+    layouts.day.cache_clear()
+    text = '<x><elements><article id="A1" debut="1990-02-01"><contenu><p>a</p></contenu></article><article id="A2" debut="1990-02-01"><contenu><p>b</p></contenu></article></elements></x>'
+    units = layouts.document(LAYOUTS["fr"], text)[1]
+    assert [(u.unit, u.eff, u.paras) for u in units] == [("A1", "1990-02-01", ["a"]), ("A2", "1990-02-01", ["b"])]
+    assert layouts.day.cache_info().hits >= 3
+
+
+def test_the_first_alternative_that_has_a_value_counts():
+    root = layouts.tree("<r><a n=' '/><a/><b n='1'/><b n='2'/><c>t</c></r>", "xml")[0]
+    assert layouts.values(root, "a@n | b@n") == ["1", "2"] and layouts.first(root, "a@n | b@n") == "1"
+    assert layouts.first(root, "d | a | c") == "t" and layouts.first(root, ".") == "t" and layouts.first(root, "") is None and layouts.first(root, "d@n") is None
