@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.dataset as pads
+import pyarrow.compute
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,6 +97,8 @@ def data_files(uri: str) -> list[str]:
 
 
 def read_table(uri: str, columns: list[str] | None = None) -> pa.Table:
+    import pyarrow.dataset as pads  # brings pandas, which the processes that plan a data source need not hold
+
     fs, _ = file_system(uri)
     return pads.dataset(data_files(uri), filesystem=fs, format="parquet").to_table(columns=columns)
 

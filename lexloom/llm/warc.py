@@ -7,7 +7,8 @@ compressed files, whose members say their size in an extra field.
 
 Which record of equal payloads is the response is found on ids and digests only.  Payloads of rows
 that are no revisit are written where they are read; a bitmap of fixed size tells most of them
-(``marks.py``), and what it leaves in doubt moves through an exact join.
+(``marks.py``), and what it leaves in doubt moves through an exact join.  The bitmap is made only
+where there are copies, the join only where it leaves a row in doubt.
 
 Defined results: null html is an empty payload; a null url leaves its header out; a null page_id
 is written as an empty id and read as null, and never is the response while another id shares the
@@ -373,18 +374,28 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     is_head = F.struct("page_id", "url").eqNullSafe(F.col("head"))
     again = F.when(F.col("head").isNull(), 0).otherwise(F.col("times") - F.when(is_head, 1).otherwise(0))
     settled = store.materialise(found.select("page_id", "url", "key", "tag", "payload_bytes", "sha1", F.col("head.page_id").alias("refers_to"), "times", again.cast("long").alias("again")), "settled")
-    revisits = settled.where("again > 0").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "again")))
+    copies = settled.where("again > 0")
+    # Without copies no row is a revisit, and neither marks nor joins are planned.
+    if copies.isEmpty():
+        return _responses(scanned)
+    revisits = copies.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "again")))
     revisits = revisits.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "payload_bytes", "sha1", F.lit("revisit").alias("record_type"), "refers_to")
     # Payloads of rows that no revisit looks like are written where they are read.  Of the others only
     # those that may be a response after all move, with the number of responses that they stand for.
-    marked = Marks(settled.where("again > 0"), "tag")
+    marked = Marks(copies, "tag")
     doubtful = store.materialise(marked.tested(settled.where("times > again"), "tag", "_marked").where("_marked").select("tag", (F.col("times") - F.col("again")).alias("responses")), "doubtful")
-    tested = Marks(doubtful, "tag").tested(marked.tested(scanned, "tag", "_marked"), "tag", "_doubtful")
-    straight = tested.where("key IS NULL OR NOT _marked")
-    moved = tested.where("key IS NOT NULL AND _marked AND _doubtful").dropDuplicates(["tag"]).join(doubtful, "tag").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "responses")))
-    responses = straight.select("page_id", "url", "payload").unionByName(moved.select("page_id", "url", "payload"))
-    responses = responses.select("page_id", "url", "payload", size.alias("payload_bytes"), F.lit(None).cast("string").alias("sha1"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
-    return responses.unionByName(revisits)
+    tested = marked.tested(scanned, "tag", "_marked")
+    written = _responses(tested.where("key IS NULL OR NOT _marked")).unionByName(revisits)
+    if doubtful.isEmpty():
+        return written
+    moved = Marks(doubtful, "tag").tested(tested.where("key IS NOT NULL AND _marked"), "tag", "_doubtful").where("_doubtful")
+    moved = moved.dropDuplicates(["tag"]).join(doubtful, "tag").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "responses")))
+    return written.unionByName(_responses(moved))
+
+
+def _responses(rows: DataFrame) -> DataFrame:
+    size = F.length("payload").cast("long")
+    return rows.select("page_id", "url", "payload", size.alias("payload_bytes"), F.lit(None).cast("string").alias("sha1"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "gzip") -> None:

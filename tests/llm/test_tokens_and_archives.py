@@ -153,6 +153,34 @@ def test_small_payloads_are_all_responses(spark):
     assert warc.planned(pages, min_bytes=100).where("record_type = 'revisit'").count() == 0
 
 
+def test_pages_without_copies_are_planned_without_joins(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(40)], "page_id bigint, url string, html string")
+    start = store.mark()
+    rows = warc.planned(pages)
+    assert [x.rpartition("/")[2].partition("-")[0] for x in store._handed[start:]] == ["pages", "settled"]
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["page_id"], r["record_type"], bytes(r["payload"])) for r in rows.collect()) == [(i, "response", f"page {i}".encode()) for i in range(40)]
+
+
+def test_copies_that_leave_no_response_in_doubt(spark):
+    """No response shares a bit with a revisit here, so no payload moves."""
+    pages = spark.createDataFrame([(i, "u", f"page {i % 7}") for i in range(20)] + [(99, None, "other")], "page_id bigint, url string, html string")
+    start = store.mark()
+    rows = warc.planned(pages)
+    assert [x.rpartition("/")[2].partition("-")[0] for x in store._handed[start:]] == ["pages", "settled", "marks", "doubtful"]
+    want = [(i, "response", None, f"page {i % 7}".encode()) if i > 12 else (i, "revisit", i % 7 + 14 - 7 * (i % 7 == 6), None) for i in range(20)] + [(99, "response", None, b"other")]
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"])) for r in rows.collect()) == want
+
+
+def test_planning_an_archive_needs_no_pandas():
+    """The driver keeps a process or two for each step that plans a data source."""
+    import subprocess
+    import sys
+
+    said = subprocess.run([sys.executable, "-c", "import sys, lexloom.llm.warc; print('pandas' in sys.modules)"], cwd=store._ROOT, capture_output=True, text=True, check=True)
+    assert said.stdout.strip() == "False"
+
+
 def test_no_pages(spark):
     path = store.fresh_path(spark, "test-warc")
     warc.write_archives(spark.createDataFrame([], "page_id bigint, url string, html string"), path)
